@@ -1,8 +1,13 @@
-"""Text normalisation of raw CSV columns."""
+"""Text normalisation of raw CSV columns.
+
+A frame is normalised in two projections, whitespace first and null words second. In
+one projection the whitespace rule would be repeated at each of its uses and run
+several times per value.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,41 +16,43 @@ from pyspark.sql import types as T
 from milepost.constants import MISSING_TEXT, NULL_TOKENS
 
 
-def squeeze_text(text: Column, fill: str | None = None) -> Column:
-    """Collapse runs of whitespace, trim, and turn empty or null-like text into ``fill``.
+def squeeze(text: Column) -> Column:
+    """Trimmed text with each run of whitespace as one blank."""
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
 
-    Null-like words are recognised in any letter case.
-    """
-    tidy = F.trim(F.regexp_replace(text, r"\s+", " "))
-    known = (tidy != "") & ~F.lower(tidy).isin(*NULL_TOKENS)
-    return F.when(known, tidy).otherwise(F.lit(fill).cast("string"))
+def known_or(text: Column, fill: str | None = None) -> Column:
+    """``fill`` for empty text and null-like words in any letter case."""
+    known = (text != "") & ~F.lower(text).isin(*NULL_TOKENS)
+    return F.when(known, text).otherwise(F.lit(fill).cast("string"))
 
 
-def trim_text(text: Column) -> Column:
-    """Trim only; null-like words become NULL in their exact spelling, empty text stays."""
-    tidy = F.trim(text)
-    return F.when(~tidy.isin(*NULL_TOKENS), tidy)
+def known_as_written(text: Column) -> Column:
+    """NULL for null-like words in exactly their spelling; empty text stays."""
+    return F.when(~text.isin(*NULL_TOKENS), text)
 
 
-def _on_strings(df: DataFrame, rule, columns: Iterable[str] | None) -> DataFrame:
+def _on_strings(
+    df: DataFrame, rules: list[Callable[[Column], Column]], columns: Iterable[str] | None
+) -> DataFrame:
     chosen = set(columns) if columns is not None else {
         f.name for f in df.schema if isinstance(f.dataType, T.StringType)
     }
-    return df.select(
-        *[rule(F.col(c)).alias(c) if c in chosen else F.col(c) for c in df.columns]
-    )
+    for rule in rules:
+        df = df.select(*[rule(F.col(c)).alias(c) if c in chosen else F.col(c) for c in df.columns])
+    return df
 
 
 def fill_missing_text(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Normalise string columns; unknown values read ``sem dado``."""
-    return _on_strings(df, lambda c: squeeze_text(c, MISSING_TEXT), columns)
+    return _on_strings(df, [squeeze, lambda c: known_or(c, MISSING_TEXT)], columns)
 
 
 def null_missing_text(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Normalise string columns; unknown values become NULL."""
-    return _on_strings(df, squeeze_text, columns)
+    return _on_strings(df, [squeeze, known_or], columns)
 
 
 def trim_strings(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Trim string columns and drop exact null-like words, keeping inner whitespace."""
-    return _on_strings(df, trim_text, columns)
+    return _on_strings(df, [F.trim, known_as_written], columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -11,15 +12,26 @@ from pyspark.sql import functions as F
 from milepost.constants import EVENT_TIME_FORMATS, FILE_DATE_STYLES
 
 
+WHOLE_NUMBER = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
+DECIMAL_NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
+
+
 def to_long(text: Column) -> Column:
-    """Whole number; a decimal tail is cut, so ``12.7`` reads 12 without losing long ids."""
-    whole = F.regexp_replace(F.trim(text), r"^([+-]?\d+)\.\d*$", "$1")
-    return whole.try_cast("bigint")
+    """Whole number; a decimal tail is cut, so ``12.7`` reads 12 without losing long ids.
+
+    Text of another shape never reaches the cast, whose failure path is slow.
+    """
+    return F.nullif(F.regexp_extract(text, WHOLE_NUMBER, 1), F.lit("")).try_cast("bigint")
+
+
+def plain_double(text: Column) -> Column:
+    """Double written with a decimal point."""
+    return F.when(text.rlike(DECIMAL_NUMBER), text.try_cast("double"))
 
 
 def to_double(text: Column) -> Column:
     """Double written with a decimal comma or point."""
-    return F.regexp_replace(text, ",", ".").try_cast("double")
+    return plain_double(F.translate(text, ",", "."))
 
 
 def to_truncated_long(text: Column) -> Column:
@@ -27,9 +39,36 @@ def to_truncated_long(text: Column) -> Column:
     return to_double(text).try_cast("bigint")
 
 
+def _shape(time_format: str) -> str:
+    """Pattern that every text readable by a format has.
+
+    Digits stand for field letters; a fraction may be shorter than its field and a
+    year longer, as in the format itself.
+    """
+    shape = re.sub(r"'([^']*)'|([.])|(S+)|(y+)|([A-Za-z])", _shape_part, time_format)
+    return f"^{shape}$"
+
+
+def _shape_part(match: re.Match) -> str:
+    literal, dot, fraction, year, _ = match.groups()
+    if literal is not None:
+        return literal
+    if dot:
+        return r"\."
+    if fraction:
+        return rf"\d{{1,{len(fraction)}}}"
+    return r"[+-]?\d{4,}" if year else r"\d"
+
+
 def parse_time(text: Column, formats: Sequence[str] = EVENT_TIME_FORMATS) -> Column:
-    """Wall-clock timestamp by the first format that fits."""
-    attempts = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
+    """Wall-clock timestamp by the first format that fits.
+
+    A format is tried only on text of its shape: a failed attempt costs far more than
+    the shape test, and most texts fit one format of several.
+    """
+    attempts = [
+        F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f))) for f in formats
+    ]
     return F.coalesce(*attempts).cast("timestamp_ntz")
 
 

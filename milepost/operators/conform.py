@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from milepost.constants import SCHEME_TEXT_LENGTHS
-from milepost.functions.parsing import as_date, to_long
+from milepost.functions.parsing import as_date, plain_double, to_long
 from milepost.schemas import WAREHOUSE
 
 
@@ -19,7 +19,7 @@ def _convert(source: T.DataType, column: Column, target: T.DataType) -> Column:
         if isinstance(source, T.StringType):
             if isinstance(target, T.LongType):
                 return to_long(column)
-            return F.round(column.try_cast("double")).try_cast(target)
+            return F.round(plain_double(column)).try_cast(target)
         if isinstance(source, T.DoubleType | T.FloatType):
             return F.round(column).try_cast(target)
     return column.try_cast(target)

@@ -10,12 +10,13 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from milepost.constants import MISSING_TEXT, SAFETY_COUNTERS, TRIP_TIME_FORMATS
-from milepost.functions.cleaning import squeeze_text, trim_text
+from milepost.constants import SAFETY_COUNTERS, TRIP_TIME_FORMATS
+from milepost.functions.cleaning import fill_missing_text, null_missing_text, trim_strings
 from milepost.functions.parsing import (
     as_date,
     file_date,
     parse_time,
+    plain_double,
     to_double,
     to_long,
     to_truncated_long,
@@ -48,19 +49,11 @@ def source_date(style: str, fallback: Column | None = None) -> Column:
     return F.coalesce(own, file_date(path, style), *([fallback] if fallback is not None else []))
 
 
-def _project(df: DataFrame, clean, parse: dict, date: Column) -> DataFrame:
-    """Clean each text column, parse those with a parser, add the source date."""
-    columns = []
-    for name in df.columns:
-        if name == SOURCE_FILE:
-            continue
-        value = clean(F.col(name))
-        columns.append((parse[name](value) if name in parse else value).alias(name))
-    return df.select(*columns, F.col(SOURCE_FILE), date.alias(PARTITION))
-
-
-def _fill(column: Column) -> Column:
-    return squeeze_text(column, MISSING_TEXT)
+def _project(df: DataFrame, normalise, parse: dict, date: Column) -> DataFrame:
+    """Normalise all text columns, parse those with a parser, add the source date."""
+    names = [c for c in df.columns if c != SOURCE_FILE]
+    columns = [(parse[c](F.col(c)) if c in parse else F.col(c)).alias(c) for c in names]
+    return normalise(df, names).select(*columns, SOURCE_FILE, date.alias(PARTITION))
 
 
 def _parsers(parser, *names: str) -> dict:
@@ -69,20 +62,20 @@ def _parsers(parser, *names: str) -> dict:
 
 def clean_groups(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return _project(
-        bronze, _fill, _parsers(to_long, "group_id", "parent_group_id", "client_id"),
+        bronze, fill_missing_text, _parsers(to_long, "group_id", "parent_group_id", "client_id"),
         source_date("loose", as_date(as_of)),
     )
 
 
 def clean_schemes(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return _project(
-        bronze, _fill, _parsers(to_long, "scheme_id"), source_date("loose", as_date(as_of))
+        bronze, fill_missing_text, _parsers(to_long, "scheme_id"), source_date("loose", as_date(as_of))
     )
 
 
 def clean_vehicles(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return _project(
-        bronze, squeeze_text,
+        bronze, null_missing_text,
         _parsers(to_long, "vehicle_id", "group_id", "unit_serial_number"),
         source_date("loose", as_date(as_of)),
     )
@@ -90,7 +83,7 @@ def clean_vehicles(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame
 
 def clean_drivers(bronze: DataFrame) -> DataFrame:
     return _project(
-        bronze, _fill, _parsers(to_long, "driver_id", "group_id", "worker_id"),
+        bronze, fill_missing_text, _parsers(to_long, "driver_id", "group_id", "worker_id"),
         source_date("any_sep"),
     )
 
@@ -98,11 +91,11 @@ def clean_drivers(bronze: DataFrame) -> DataFrame:
 def clean_events(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     parse = {
         **_parsers(to_long, "event_id", "vehicle_id", "scheme_id", "drive_id"),
-        **_parsers(lambda c: c.try_cast("double"), *EVENT_DOUBLES),
+        **_parsers(plain_double, *EVENT_DOUBLES),
         **_parsers(to_double, "start_mileage", "end_mileage"),
         **_parsers(parse_time, "start_time", "end_time"),
     }
-    return _project(bronze, trim_text, parse, source_date("loose", as_date(as_of)))
+    return _project(bronze, trim_strings, parse, source_date("loose", as_date(as_of)))
 
 
 def clean_trips(bronze: DataFrame) -> DataFrame:
@@ -112,7 +105,7 @@ def clean_trips(bronze: DataFrame) -> DataFrame:
         **_parsers(to_double, *TRIP_DOUBLES),
         **_parsers(to_truncated_long, *SAFETY_COUNTERS),
     }
-    return _project(bronze, squeeze_text, parse, source_date("loose"))
+    return _project(bronze, null_missing_text, parse, source_date("loose"))
 
 
 NEWEST = (PARTITION, SOURCE_FILE)

@@ -18,6 +18,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # HotSpot does not compile methods beyond 8000 bytes. Cleaning a feed of forty
+    # columns exceeds that as one fused method, so such stages run operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
