@@ -26,6 +26,25 @@ TRIP_MEASURES = (
 EVENT_KEYS = ("driver_id", "scheme_id", "vehicle_id", "trip_month", "event_month")
 
 
+# month -> the timestamp it comes from, whose null test can reach the scan
+MONTH_OF = {
+    "start_month": "start_drive", "end_month": "end_drive",
+    "trip_month": "start_drive", "event_month": "start_time",
+}
+OF_TRIP = ("driver_id", "trip_month")  # rollup columns of an event that its trip provides
+
+
+def _known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    for column in columns:
+        df = df.filter(F.col(column).isNotNull())
+    return df
+
+
+def _known_raw(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Raw facts with all of the rollup columns set."""
+    return _known(df, [MONTH_OF.get(c, c) for c in columns])
+
+
 def trip_rows(trips: DataFrame) -> DataFrame:
     """Trips as rollup rows: keys, months and measures."""
     return trips.select(
@@ -50,9 +69,10 @@ def trip_totals(
     known: Sequence[str] = (),
 ) -> DataFrame:
     """Trip measures per ``keys`` over the rows where all ``known`` columns are set."""
-    rows = fleet.trip_rollup if fleet.trip_rollup is not None else trip_rows(fleet.trips)
-    for column in known:
-        rows = rows.filter(F.col(column).isNotNull())
+    if fleet.trip_rollup is not None:
+        rows = _known(fleet.trip_rollup, known)
+    else:
+        rows = trip_rows(_known_raw(fleet.trips, known))
     return add_up(rows, keys, measures)
 
 
@@ -92,15 +112,17 @@ def event_counts(
     schemes it does not list are left out.
     """
     if fleet.event_rollup is not None:
-        rows = fleet.event_rollup
+        rows = _known(fleet.event_rollup, known)
         if labels is not None:
             rows = rows.join(labels, "scheme_id")
         count = F.sum("n")
     else:
-        rows = event_trip_rows(fleet.events, fleet.trips, labels)
+        rows = event_trip_rows(
+            _known_raw(fleet.events, [c for c in known if c not in OF_TRIP]),
+            _known_raw(fleet.trips, [c for c in known if c in OF_TRIP]),
+            labels,
+        )
         count = F.count(F.lit(1))
-    for column in known:
-        rows = rows.filter(F.col(column).isNotNull())
     return rows.groupBy(*keys).agg(count.alias("n"))
 
 

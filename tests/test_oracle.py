@@ -48,12 +48,12 @@ def skewed_dir(spark, small, tmp_path_factory):
     con.execute(f"""
         COPY (SELECT * REPLACE (
                 CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey,
-                CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey * 1000 + 4 ELSE o_orderkey END AS o_orderkey)
+                CASE WHEN o_orderkey % 3 = 0 THEN 1000000004 + o_orderkey * 1000 ELSE o_orderkey END AS o_orderkey)
               FROM '{small}/orders.parquet') TO '{folder}/orders.parquet'""")
     con.execute(f"""
         COPY (SELECT * REPLACE (
-                CASE WHEN l_partkey % 3 = 0 THEN 6004 WHEN l_orderkey % 3 = 0
-                     THEN l_orderkey * 1000 + 4 ELSE l_orderkey END AS l_orderkey,
+                CASE WHEN l_partkey % 3 = 0 THEN 1000006004 WHEN l_orderkey % 3 = 0
+                     THEN 1000000004 + l_orderkey * 1000 ELSE l_orderkey END AS l_orderkey,
                 CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_suppkey END AS l_suppkey)
               FROM '{small}/lineitem.parquet') TO '{folder}/lineitem.parquet'""")
     return str(folder)
