@@ -84,7 +84,7 @@ def file_date(
     """
     pattern, date_format = FILE_DATE_STYLES[style]
     found = F.regexp_replace(F.regexp_extract(name, pattern, 1), "-", "_")
-    parsed = F.try_to_date(found, date_format)
+    parsed = F.when(name.rlike(pattern), F.try_to_date(found, date_format))
     if fallback is None:
         return parsed
     return F.coalesce(parsed, fallback if isinstance(fallback, Column) else F.lit(fallback))

@@ -40,43 +40,41 @@ def with_top_driver_name(df: DataFrame, fleet: Fleet, driver: str = "top_driver_
     return df.join(names, driver, "left")
 
 
-SEED = 4
+SEED = 8
 
 
-def _pieces(text: Column, length: int) -> Column:
+def _pieces(text: Column, length: Column) -> Column:
     """All pieces of a text with the given length."""
-    starts = F.sequence(F.lit(1), F.length(text) - (length - 1))
+    starts = F.sequence(F.lit(1), F.length(text) - length + 1)
     return F.when(
         F.length(text) >= length,
-        F.transform(starts, lambda start: F.substring(text, start, F.lit(length))),
+        F.transform(starts, lambda start: F.substring(text, start, length)),
     ).otherwise(F.array().cast("array<string>"))
 
 
-def _seeds(text: Column) -> Column:
-    """Distinct pieces of a text up to ``SEED`` characters long."""
-    return F.array_distinct(F.concat(*[_pieces(text, n) for n in range(1, SEED + 1)]))
-
-
 def join_contains(
     texts: DataFrame, text: str, fragments: DataFrame, fragment: str
 ) -> DataFrame:
     """Pairs where the text contains the fragment; empty fragments match nothing.
 
     Containment is no equality, but a text holding a fragment also holds its first
-    ``SEED`` characters (or all of a shorter one). Texts are cut into such seeds, the
-    join is an equality on the seed, and the exact test runs on the few pairs left.
-    Each distinct text and each distinct fragment is matched once, however often it
-    occurs, and no pair without a common seed is ever formed.
+    ``SEED`` characters (or all of a shorter one). Texts are cut into pieces of the
+    lengths such seeds have, the join is an equality on the seed, and the exact test
+    runs on the few pairs left. Each distinct text and each distinct fragment is matched
+    once, however often it occurs, and no pair without a common seed is ever formed.
     """
     distinct_texts = texts.select(F.col(text).alias("_text")).filter(F.col("_text") != "").distinct()
-    distinct_fragments = (
-        fragments.select(F.col(fragment).alias("_fragment")).filter(F.col("_fragment") != "").distinct()
-    )
-    seeded_texts = distinct_texts.select(
-        "_text", F.explode(_seeds(F.col("_text"))).alias("_seed")
+    seeded_fragments = (
+        fragments.select(F.col(fragment).alias("_fragment"))
+        .filter(F.col("_fragment") != "")
+        .distinct()
+        .withColumn("_seed", F.substring("_fragment", 1, SEED))
     )
-    seeded_fragments = distinct_fragments.select(
-        "_fragment", F.substring("_fragment", 1, SEED).alias("_seed")
+    # at most SEED numbers
+    lengths = seeded_fragments.agg(F.collect_set(F.length("_seed"))).scalar()
+    pieces = _pieces(F.col("_text"), F.col("_length"))
+    seeded_texts = distinct_texts.withColumn("_length", F.explode(lengths)).select(
+        "_text", F.explode(F.array_distinct(pieces)).alias("_seed")
     )
     pairs = (
         seeded_texts.join(seeded_fragments, "_seed")

@@ -12,7 +12,7 @@ from milepost.operators.quality import require_checkpoint
 from milepost.plans import silver as S
 from milepost.plans.marts import refresh_marts
 from milepost.schemas import BRONZE, Fleet
-from milepost.session import build_session
+from milepost.session import build_session, shuffle_partitions
 from milepost.sources.bronze import SOURCE_FILE, read_bronze
 from milepost.sources.reference import load_dictionary, load_parameters
 from milepost.sources.silver import append_unseen, read_table, write_snapshot
@@ -98,8 +98,12 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--parameters", required=True)
     args.add_argument("--as-of", type=dt.date.fromisoformat)
     args.add_argument("--full-trips", action="store_true")
+    args.add_argument("--bronze-bytes", type=int, default=0, help="size of the largest feed")
     given = args.parse_args(argv)
-    spark = build_session("milepost-pipeline")
+    spark = build_session(
+        "milepost-pipeline",
+        spark__sql__shuffle__partitions=str(shuffle_partitions(given.bronze_bytes)),
+    )
     run_pipeline(
         spark, given.bronze, given.out,
         load_dictionary(spark, given.dictionary), load_parameters(spark, given.parameters),

@@ -24,6 +24,18 @@ DEFAULTS = {
 }
 
 
+SHUFFLE_BYTES_PER_TASK = 128 * 1024 * 1024
+
+
+def shuffle_partitions(bytes_shuffled: int, at_least: int = 200) -> int:
+    """Initial shuffle partitions that keep a task near 128 MiB.
+
+    Adaptive execution merges partitions that turn out small but never splits an even
+    one, so the initial number has to fit the largest shuffle.
+    """
+    return max(at_least, -(-bytes_shuffled // SHUFFLE_BYTES_PER_TASK))
+
+
 def build_session(app_name: str = "milepost", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the package defaults; keyword options use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)

@@ -42,7 +42,7 @@ def read_bronze(
 
 def file_name(path: Column) -> Column:
     """Last part of a path."""
-    return F.regexp_extract(path, r"([^/]+)/*$", 1)
+    return F.substring_index(F.rtrim(path, F.lit("/")), "/", -1)
 
 
 def route_landing(files: DataFrame, export_prefix: str, path: str = "path") -> DataFrame:

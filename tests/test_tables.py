@@ -235,3 +235,10 @@ def test_reference_tables(spark, tmp_path):
     path = str(tmp_path / "d")
     T.dictionary(spark).withColumn("impacto_resumido", F.lit("x")).write.parquet(path)
     assert load_dictionary(spark, path).count() == 8
+
+
+def test_shuffle_partitions():
+    from milepost.session import shuffle_partitions
+
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(10 * 2**40) == 81920
