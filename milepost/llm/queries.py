@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import language, mixing
+from milepost.llm import bitsliced, bpe, language, mixing, vptree
 from milepost.llm.tables import table
 
 
@@ -28,12 +28,54 @@ def op2_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op4_bit_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+def op6_trie_bpe(spark: SparkSession, sf_dir: str, path: str = VOCABULARY) -> DataFrame:
+    done = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), bpe.Vocabulary(path))
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.c, v.c), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id
+  WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_mixture": op1_language_mixture,
         "op2_fair_mix": op2_fair_mix,
+        "op3_vantage_points": op3_vantage_points,
+        "op4_bit_slices": op4_bit_slices,
+        "op6_trie_bpe": op6_trie_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_bit_slices": OP4_SQL}
