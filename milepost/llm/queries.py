@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import bitsliced, bpe, language, mixing, vptree
+from milepost.llm import bitsliced, bpe, language, mixing, ngram_join, vptree
 from milepost.llm.tables import table
 
 
@@ -36,6 +36,10 @@ def op4_bit_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_classes(table(spark, sf_dir, "documents"))
+
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_fair_mix": op2_fair_mix,
         "op3_vantage_points": op3_vantage_points,
         "op4_bit_slices": op4_bit_slices,
+        "op5_ngram_join": op5_ngram_join,
         "op6_trie_bpe": op6_trie_bpe,
     }
 
