@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import bitsliced, bpe, language, mixing, ngram_join, vptree
+from milepost.llm import bitsliced, bpe, language, mixing, ngram_join, repeats, suffixes, vptree
 from milepost.llm.tables import table
 
 
@@ -53,6 +53,17 @@ def op6_trie_bpe(spark: SparkSession, sf_dir: str, path: str = VOCABULARY) -> Da
     )
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("size").alias("n_words"), F.col("removed").alias("n_removed"), "kept_sha256")
+
+
+def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
+    spans = F.size("spans").cast("long").alias("n_spans")
+    return found.select("doc_id", F.col("size").alias("n_bytes"), F.col("removed").alias("n_removed"), spans, "kept_sha256")
+
+
 OP4_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
@@ -79,6 +90,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bit_slices": op4_bit_slices,
         "op5_ngram_join": op5_ngram_join,
         "op6_trie_bpe": op6_trie_bpe,
+        "op7_repeated_passages": op7_repeated_passages,
+        "op10_suffix_arrays": op10_suffix_arrays,
     }
 
 
