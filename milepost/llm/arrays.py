@@ -89,12 +89,13 @@ def text_runs(column: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, i
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = WORD_BYTE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word of a run, and the first word of each text.
 
     The last array has one entry more than there are texts; words never span texts.
+    ``kinds`` tells the bytes of words.
     """
-    inside = WORD_BYTE[data]
+    inside = kinds[data]
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
     cuts = offsets[:-1][offsets[:-1] < len(data)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import bitsliced, bpe, language, mixing, ngram_join, repeats, suffixes, vptree
+from milepost.llm import bitsliced, bpe, language, mixing, ngram_join, repeats, suffixes, toxicity, vptree
 from milepost.llm.tables import table
 
 
@@ -58,6 +58,14 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("size").alias("n_words"), F.col("removed").alias("n_removed"), "kept_sha256")
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    model = toxicity.learn_toxicity(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
     spans = F.size("spans").cast("long").alias("n_spans")
@@ -91,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_ngram_join": op5_ngram_join,
         "op6_trie_bpe": op6_trie_bpe,
         "op7_repeated_passages": op7_repeated_passages,
+        "op8_kneser_ney": op8_kneser_ney,
         "op10_suffix_arrays": op10_suffix_arrays,
     }
 
