@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.llm import bitsliced, bpe, language, mixing, ngram_join, repeats, suffixes, toxicity, vptree
+from milepost.llm import bitsliced, bpe, language, mixing, ngram_join, repeats, suffixes, surrogates, toxicity, vptree
 from milepost.llm.tables import table
 
 
@@ -40,6 +40,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_classes(table(spark, sf_dir, "documents"))
 
 
+SURROGATE_KEY = b"a key for tests; production passes its own"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 
@@ -66,6 +67,11 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_private(docs, SURROGATE_KEY)
+
+
 def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
     spans = F.size("spans").cast("long").alias("n_spans")
@@ -100,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_trie_bpe": op6_trie_bpe,
         "op7_repeated_passages": op7_repeated_passages,
         "op8_kneser_ney": op8_kneser_ney,
+        "op9_surrogates": op9_surrogates,
         "op10_suffix_arrays": op10_suffix_arrays,
     }
 
