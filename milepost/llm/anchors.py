@@ -3,9 +3,13 @@
 A text is a sequence of units: words or bytes. An anchor is a run of ``k`` units whose hash
 is the least among ``width`` neighbouring runs, so every window of ``k + width - 1`` units
 selects an anchor inside it, and equal windows select equal ones. A window can only repeat
-if its anchor occurs more than once. Occurrences are counted over all documents by hash,
-combined map-side, so that a passage in most documents is no hot key. Anchors seen once go
-back to their document, whose other windows are the candidates.
+if its anchor occurs more than once. Occurrences are gathered over all documents by hash,
+combined map-side, so that a passage in most documents is no hot key. Anchors met in one
+text and place only go back to their document, whose other windows are the candidates.
+
+Whole copies of a text are told by a digest first. All their windows start earlier in the
+copy with the least doc_id, so they are finished at once, and their anchors do not count as
+repeats: an anchor that only copies of one text share, at one place, counts as met once.
 """
 
 from __future__ import annotations
@@ -21,9 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milepost.llm.arrays import BYTE_KEYS, U64, inside_texts, ranges, sliding, text_runs, window_hashes, winnowed, word_hashes, words
-from milepost.operators.windows import write_once
+from milepost.llm.tables import later_copies, store_texts
 
 LAST = U64(2**64 - 1)
+COPY = -1
 
 
 @dataclass(frozen=True)
@@ -103,24 +108,27 @@ def stretches(places: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.nd
 def _emit(shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, marks = batch.column("doc_id").to_numpy(), batch.column("mark").to_numpy()
             for first, last, data, offsets in text_runs(batch.column("text")):
                 units = Run(shape, data, offsets)
                 hashes = units.anchors()
                 places = np.flatnonzero(winnowed(hashes, shape.width) & (hashes != LAST))
                 text, at = units.local(places)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[places].view(np.int64)), pa.array(ids[first:last][text]), pa.array(at.astype(np.int32))],
-                    names=["hash", "doc_id", "at"],
+                    [pa.array(hashes[places].view(np.int64)), pa.array(ids[first:last][text]), pa.array(marks[first:last][text]), pa.array(at.astype(np.int32))],
+                    names=["hash", "doc_id", "mark", "at"],
                 )
     return run
 
 
 def anchor_counts(docs: DataFrame, shape: Shape) -> DataFrame:
-    """``hash, n, doc_id, at``: how often each anchor occurs; where, if only once."""
-    known = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
-    found = known.mapInArrow(_emit(shape), "hash long, doc_id long, at int")
-    return found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"), F.min("at").alias("at"))
+    """``hash, n, doc_id, at, once``: each anchor's occurrences, and the place of those met once."""
+    known = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    found = known.mapInArrow(_emit(shape), "hash long, doc_id long, mark long, at int").groupBy("hash")
+    ends = [f(c).alias(f"{name}_{c}") for c in ("mark", "at") for name, f in (("min", F.min), ("max", F.max))]
+    once = (F.col("min_mark") == F.col("max_mark")) & (F.col("min_at") == F.col("max_at"))
+    counts = found.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"), *ends)
+    return counts.select("hash", "n", "doc_id", F.col("min_at").alias("at"), once.alias("once"))
 
 
 def _candidates(shape: Shape):
@@ -131,13 +139,17 @@ def _candidates(shape: Shape):
                 units = Run(shape, data, offsets)
                 hashes = units.anchors()
                 at, counts = lists(batch.column("single"), first, last)
-                hashes[np.repeat(units.bounds[:-1], counts) + at] |= U64(1)
+                owner = np.repeat(np.arange(last - first), counts)
+                copy = np.zeros(last - first, bool)
+                copy[owner[at == COPY]] = True
+                owner, at = owner[at != COPY], at[at != COPY]
+                hashes[units.bounds[owner] + at] |= U64(1)
                 windows = units.windows()
                 if len(windows):
                     least = sliding(hashes, shape.width)
                     windows = windows[(least[windows] & U64(1)) == 0]
                 text, place = units.local(windows)
-                good = known[first:last][text]
+                good = known[first:last][text] & ~copy[text]
                 windows, text, place = windows[good], text[good], place[good]
                 breaks = np.concatenate(([True], np.diff(text) != 0)) if len(text) else np.zeros(0, bool)
                 starts, sizes = stretches(windows, breaks)
@@ -145,29 +157,35 @@ def _candidates(shape: Shape):
                 pairs = np.stack((place, sizes), axis=1).ravel()
                 has = np.bincount(owner, minlength=last - first)
                 texts = batch.column("text").slice(first, last - first)
-                digests = units.digests(np.ones(len(units.values), bool))
+                size = np.diff(units.bounds)
+                gone = copy & (size >= shape.length)
+                digests = units.digests(~np.repeat(gone, size))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, last - first),
-                        pa.array(np.diff(units.bounds)),
+                        pa.array(size),
+                        pa.array(gone),
                         as_lists(pairs, 2 * has),
                         texts.take(pa.array(np.arange(last - first), mask=has == 0)),
                         pa.array([None if h else d for h, d in zip(has, digests)], pa.string()),
                     ],
-                    names=["doc_id", "size", "runs", "text", "digest"],
+                    names=["doc_id", "size", "gone", "runs", "text", "digest"],
                 )
     return run
 
 
-def candidates(docs: DataFrame, single: DataFrame, shape: Shape) -> DataFrame:
+def candidates(docs: DataFrame, once: DataFrame, shape: Shape) -> DataFrame:
     """One stored row per document; those without candidate windows are finished.
 
-    ``runs`` has pairs of the first window of a run and the number of windows. ``text`` is
-    kept only where there are runs, ``digest`` only where there are none.
+    ``once(doc_id, at)`` has the anchors met once. ``runs`` has pairs of the first window of
+    a run and the number of windows. ``text`` is kept only where there are runs, ``digest``
+    only where there are none; ``gone`` marks whole copies.
     """
+    marked = once.union(later_copies(docs).select("doc_id", F.lit(COPY).alias("at")))
+    single = marked.groupBy("doc_id").agg(F.collect_list("at").alias("single"))
     rows = docs.select("doc_id", "text").join(single, "doc_id", "left").select("doc_id", "text", "single")
-    found = rows.mapInArrow(_candidates(shape), "doc_id long, size long, runs array<int>, text string, digest string")
-    return write_once(found, f"repeats-{shape.kind}")
+    schema = "doc_id long, size long, gone boolean, runs array<int>, text string, digest string"
+    return store_texts(rows.mapInArrow(_candidates(shape), schema), f"repeats-{shape.kind}")
 
 
 def run_windows(units: Run, column: pa.Array, first: int, last: int) -> np.ndarray:
@@ -223,7 +241,11 @@ def without_repeats(found: DataFrame, firsts: DataFrame, shape: Shape) -> DataFr
     spans = "array<struct<start:int,length:int>>"
     open_ = found.where(F.col("text").isNotNull()).join(firsts, "doc_id", "left").select("doc_id", "text", "runs", "at", "n")
     rest = found.where(F.col("text").isNull()).select(
-        "doc_id", "size", F.lit(0).cast("long").alias("removed"), F.array().cast(spans).alias("spans"), F.col("digest").alias("kept_sha256")
+        "doc_id",
+        "size",
+        F.when(F.col("gone"), F.col("size")).otherwise(0).alias("removed"),
+        F.when(F.col("gone"), F.array(F.struct(F.lit(0).alias("start"), F.col("size").cast("int").alias("length")))).otherwise(F.array()).cast(spans).alias("spans"),
+        F.col("digest").alias("kept_sha256"),
     )
     schema = f"doc_id long, size long, removed long, spans {spans}, kept_sha256 string"
     return open_.mapInArrow(_finish(shape), schema).unionByName(rest)

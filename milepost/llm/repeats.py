@@ -1,7 +1,7 @@
 """Substring deduplication over words by seed and extend.
 
 Seeds are winnowed anchors of ``SEED`` words that occur more than once. A seed is extended
-both ways: every window of ``length`` words around it is compared, as a 128-bit hash of its
+both ways: every window of ``length`` words around it is compared, as a 96-bit hash of its
 words, with the windows around all other occurrences. Of each window content only the first
 place by (doc_id, start) is kept as such; the other windows repeat it. Overlapping repeated
 windows join to maximal repeats, which are the spans removed. Hot seeds are no issue: places
@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milepost.llm.anchors import Run, Shape, anchor_counts, candidates, run_windows, without_repeats
-from milepost.llm.arrays import text_runs, window_hashes, word_hashes
+from milepost.llm.arrays import U64, text_runs, window_hashes, word_hashes
 
-LENGTH, SEED = 20, 6
+LENGTH, SEED = 20, 4
 
 
 def _extend(shape: Shape):
@@ -42,7 +42,7 @@ def _extend(shape: Shape):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(window_hashes(units.values, shape.length)[windows].view(np.int64)),
-                        pa.array(window_hashes(other, shape.length, 1)[windows].view(np.int64)),
+                        pa.array((window_hashes(other, shape.length, 1)[windows] >> U64(32)).astype(np.uint32).view(np.int32)),
                         pa.array(ids[first:last][text]),
                         pa.array(at.astype(np.int32)),
                     ],
@@ -59,10 +59,9 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -
     space).
     """
     shape = Shape("word", length, seed)
-    once = anchor_counts(docs, shape).where(F.col("n") == 1)
-    found = candidates(docs, once.groupBy("doc_id").agg(F.collect_list("at").alias("single")), shape)
+    found = candidates(docs, anchor_counts(docs, shape).where("once").select("doc_id", "at"), shape)
     windows = found.where(F.col("text").isNotNull()).select("doc_id", "text", "runs")
-    windows = windows.mapInArrow(_extend(shape), "one long, two long, doc_id long, at int")
+    windows = windows.mapInArrow(_extend(shape), "one long, two int, doc_id long, at int")
     firsts = (
         windows.groupBy("one", "two")
         .agg(F.min(F.struct("doc_id", "at")).alias("place"))

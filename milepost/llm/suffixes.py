@@ -32,7 +32,7 @@ from milepost.llm.anchors import Run, Shape, anchor_counts, candidates, run_wind
 from milepost.llm.arrays import U64, large_binary, ranges, sliding, text_runs, window_hashes
 from milepost.operators.windows import write_once
 
-LENGTH, SEED = 100, 24
+LENGTH, SEED = 100, 16
 HOT, MOST_HOT = 1024, 1 << 20
 CHUNK_BYTES = 4 << 20
 
@@ -152,19 +152,18 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     of bytes of each removed stretch) and ``kept_sha256`` (of the remaining bytes).
     """
     shape = Shape("byte", length, seed)
-    once = F.col("n") == 1
+    frequent, met = F.col("n") > HOT, F.col("once")
     kept = write_once(
         anchor_counts(docs, shape)
-        .where(once | (F.col("n") > HOT))
-        .groupBy(F.when(once, F.col("doc_id")).alias("doc_id"), F.when(~once, F.pmod("hash", F.lit(1024))).alias("part"))
-        .agg(F.collect_list(F.when(once, F.col("at"))).alias("single"), F.collect_list(F.when(~once, F.struct("hash", "n"))).alias("hot")),
+        .where(met | frequent)
+        .select(F.when(met, F.col("doc_id")).alias("doc_id"), F.when(met, F.col("at")).alias("at"), *[F.when(~met, F.col(c)).alias(c) for c in ("hash", "n")]),
         "repeats-anchors",
     )
-    hot, limit = kept.where(F.col("part").isNotNull()).select(F.inline("hot")), HOT
+    hot, limit = kept.where(F.col("hash").isNotNull()), HOT
     while hot.where(F.col("n") > limit).count() > MOST_HOT:
         limit *= 2
     frequent = np.array([r[0] for r in hot.where(F.col("n") > limit).select("hash").collect()], np.int64).view(U64)
-    found = candidates(docs, kept.where(F.col("doc_id").isNotNull()).select("doc_id", "single"), shape)
+    found = candidates(docs, kept.where(F.col("hash").isNull()).select("doc_id", "at"), shape)
     segments = found.where(F.col("text").isNotNull()).select("doc_id", "text", "runs")
     segments = segments.mapInArrow(_segments(shape, frequent), "key long, content binary, doc_id long, at int")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

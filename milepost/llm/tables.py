@@ -3,7 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from milepost.operators.windows import write_once
+from milepost.session import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def store_texts(df: DataFrame, purpose: str) -> DataFrame:
+    """Like ``write_once``, compressed harder: for tables that hold whole texts."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def later_copies(docs: DataFrame) -> DataFrame:
+    """``doc_id`` of the documents whose whole text a smaller doc_id has too.
+
+    Only digests are shuffled; the least doc_id of each is found map-side first, so that a
+    text which many documents share is no hot key.
+    """
+    digests = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.unhex(F.md5("text")).alias("digest"))
+    digests = write_once(digests, "text-digests")
+    firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return digests.join(firsts, "digest").where(F.col("doc_id") > F.col("first")).select("doc_id").distinct()
