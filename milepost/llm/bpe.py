@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 from itertools import chain
 
@@ -34,7 +35,8 @@ from milepost.llm.arrays import text_runs
 # fixed value: the pattern by which byte-level BPE cuts a text into words
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = 1 << 60
-CACHED_WORDS = 200_000
+CACHED_WORDS = 300_000
+TRIE_BYTES = 4 << 20
 
 
 def _bytes_by_character() -> dict[str, int]:
@@ -76,21 +78,19 @@ class Vocabulary:
         return {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.added.items()}
 
     def plain(self) -> dict:
-        return {"ids": self.ids, "parts": self.parts, "ranks": self.ranks, "added": self.added}
+        """What tasks need; tokens that no text is ever encoded to are left out."""
+        pairs = Pairs(self.parts, self.ranks)
+        ids = {b: i for b, i in self.ids.items() if pairs.whole(i)}
+        return {"ids": ids, "parts": self.parts, "ranks": self.ranks, "added": self.added}
 
 
-class Encoder:
-    """Encodes distinct words; keeps what it has learned about token pairs."""
+class Pairs:
+    """Which tokens may stand next to each other."""
 
-    def __init__(self, ids: dict, parts: dict, ranks: dict, added: dict):
-        self.ids, self.parts, self.ranks, self.added = ids, parts, ranks, added
+    def __init__(self, parts: dict, ranks: dict):
+        self.parts, self.ranks = parts, ranks
         self.edges: dict[tuple[int, bool], list[tuple[int, int]]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
         self.reachable: dict[int, bool] = {}
-        self.longest: dict[bytes, int] = {}
-        for token in ids:
-            self.longest[token[-2:]] = max(self.longest.get(token[-2:], 0), len(token))
-            self.longest[token[-1:]] = max(self.longest.get(token[-1:], 0), 1)
 
     def _edge(self, token: int, right: bool) -> list[tuple[int, int]]:
         """What stands at one edge of a token while it is built, and until which rank."""
@@ -106,7 +106,7 @@ class Encoder:
             self.edges[key] = steps[::-1]
         return self.edges[key]
 
-    def _apart(self, a: int, b: int) -> bool:
+    def apart(self, a: int, b: int) -> bool:
         """Both tokens get finished before anything merges across their boundary."""
         left, right, i, j = self._edge(a, True), self._edge(b, False), 0, 0
         while True:
@@ -121,52 +121,80 @@ class Encoder:
             else:
                 j += 1
 
-    def _compatible(self, a: int, b: int) -> bool:
-        key = (a, b)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) > 4 * CACHED_WORDS:
-                self.pairs.clear()
-            known = self.pairs[key] = key not in self.ranks and self._apart(a, b)
-        return known
+    def compatible(self, a: int, b: int) -> bool:
+        return (a, b) not in self.ranks and self.apart(a, b)
 
-    def _whole(self, token: int) -> bool:
+    def whole(self, token: int) -> bool:
         """The token is the encoding of its own bytes."""
         known = self.reachable.get(token)
         if known is None:
+            known = True
             if token in self.parts:
                 a, b, _ = self.parts[token]
-                known = self._whole(a) and self._whole(b) and self._apart(a, b)
-            else:
-                known = True
+                known = self.whole(a) and self.whole(b) and self.apart(a, b)
             self.reachable[token] = known
         return known
 
+
+class Sizes(dict):
+    """Lengths of the tokens that can end a prefix, by its last three bytes, longest first."""
+
+    def __init__(self, ids: dict[bytes, int]):
+        self.ids = ids
+        for token in ids:
+            if len(token) > 2:
+                self.setdefault(token[-3:], {2, 1}).add(len(token))
+        for tail, sizes in self.items():
+            self[tail] = tuple(sorted(sizes, reverse=True))
+
+    def __missing__(self, tail: bytes) -> tuple[int, ...]:
+        self[tail] = found = (2, 1) if tail[-2:] in self.ids else (1,)
+        return found
+
+
+class Encoder:
+    """Encodes distinct words; keeps what it has learned about token pairs."""
+
+    def __init__(self, ids: dict, parts: dict, ranks: dict, added: dict):
+        self.ids, self.sizes, self.pairs = ids, Sizes(ids), Pairs(parts, ranks)
+        self.known: dict[int, bool] = {}
+
     def encode(self, words: list[bytes]) -> dict[bytes, tuple[int, ...]]:
         """Token ids of each word."""
-        out, last, before = {}, [(-1, 0)], b""
-        ids, longest, compatible, whole = self.ids, self.longest, self._compatible, self._whole
+        out, tokens, lengths, before = {}, [-1], [0], b""
+        token_of, sizes, known, compatible = self.ids.get, self.sizes, self.known, self.pairs.compatible
+        if len(known) > 4 * CACHED_WORDS:
+            known.clear()
         for word in sorted(words):
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del last[shared + 1 :]
+            del tokens[shared + 1 :], lengths[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for size in range(min(end, longest.get(word[max(0, end - 2) : end], 1)), 0, -1):
-                    token = ids.get(word[end - size : end])
-                    if token is None or not whole(token):
+                for size in sizes[word[end - 3 if end > 3 else 0 : end]]:
+                    start = end - size
+                    if start < 0:
                         continue
-                    if size == end or compatible(last[end - size][0], token):
-                        last.append((token, size))
-                        break
+                    token = token_of(word[start:end])
+                    if token is None:
+                        continue
+                    if start:
+                        pair = tokens[start] << 24 | token
+                        fits = known.get(pair)
+                        if fits is None:
+                            fits = known[pair] = compatible(tokens[start], token)
+                        if not fits:
+                            continue
+                    tokens.append(token)
+                    lengths.append(size)
+                    break
                 else:
                     raise ValueError(f"no token ends {word[:end]!r}")
-            tokens, at = [], len(word)
+            found, at = [], len(word)
             while at:
-                token, size = last[at]
-                tokens.append(token)
-                at -= size
-            out[word] = tuple(tokens[::-1])
+                found.append(tokens[at])
+                at -= lengths[at]
+            out[word] = tuple(found[::-1])
             before = word
         return out
 
@@ -174,7 +202,7 @@ class Encoder:
 def encode_texts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int) and ``decoded``, the text decoded from them.
 
-    Columns of these names are replaced. Words are collected over about a mebibyte of text
+    Columns of these names are replaced. Words are collected over about ``TRIE_BYTES`` of text
     at a time; encodings of words stay in a bounded cache of the task.
     """
     keep = [c for c in docs.columns if c not in ("ids", "decoded")]
@@ -188,7 +216,7 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
         plain, token_bytes = shared.value
         encoder, find = Encoder(**plain), regex.compile(WORDS).findall
         specials = re.compile("|".join(map(re.escape, sorted(plain["added"], key=len, reverse=True)))) if plain["added"] else None
-        known: dict[str, tuple[int, ...]] = {}
+        known: dict[str, bytes] = {}  # ids of a word as packed 32-bit numbers
         back: dict[str, bytes] = {}
 
         def words_of(value: str) -> list[str]:
@@ -202,24 +230,21 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
 
         for batch in batches:
             column = batch.column(len(keep))
-            for first, last, *_ in text_runs(column):
+            for first, last, *_ in text_runs(column, TRIE_BYTES):
                 cut = [words_of(v or "") for v in column.slice(first, last - first).to_pylist()]
                 if len(known) > CACHED_WORDS:
                     known.clear()
                     back.clear()
                 for t, i in plain["added"].items():
-                    known[t], back[t] = (i,), token_bytes[i]
+                    known[t], back[t] = struct.pack("<i", i), token_bytes[i]
                 new = {w.encode(): w for w in set(chain.from_iterable(cut)).difference(known)}
                 for word, tokens in encoder.encode(list(new)).items():
-                    known[new[word]] = tokens
+                    known[new[word]] = struct.pack(f"<{len(tokens)}i", *tokens)
                     back[new[word]] = b"".join([token_bytes[t] for t in tokens])
-                ids, sizes, decoded = [], [0], []
-                for found in cut:
-                    row = list(chain.from_iterable(map(known.__getitem__, found)))
-                    ids.append(np.array(row, np.int32))
-                    sizes.append(len(row))
-                    decoded.append(b"".join(map(back.__getitem__, found)).decode("utf-8", "replace"))
-                lists = pa.ListArray.from_arrays(np.cumsum(sizes, dtype=np.int32), pa.array(np.concatenate(ids)))
+                ids = [b"".join(map(known.__getitem__, found)) for found in cut]
+                decoded = [b"".join(map(back.__getitem__, found)).decode("utf-8", "replace") for found in cut]
+                ends = np.cumsum([0, *(len(row) // 4 for row in ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
                 kept = [c.slice(first, last - first) for c in batch.columns[: len(keep)]]
                 yield pa.RecordBatch.from_arrays([*kept, lists, pa.array(decoded, pa.string())], names=[*keep, "ids", "decoded"])
 
