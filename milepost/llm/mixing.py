@@ -104,3 +104,22 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int
     times = F.size(F.filter(finish, lambda f: f <= F.lit(last))) if last is not None else F.lit(0)
     taken = F.when((F.col("size") > 0) & (F.col("target") > 0), F.col("size") * times).otherwise(0)
     return queued.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), *own)
+
+
+def apply_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Rows without words are kept once: they cost no budget. Rows that repeat an id and text
+    share what the mix takes of them.
+    """
+    mark = F.xxhash64("text", "source")
+    taken = mix_sources(docs.select("doc_id", "source", "text", mark.alias("mark")), weights, passes, seed, keep=("mark",))
+    times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("long")
+    totals = taken.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.sum(times).alias("_times"), F.count(F.lit(1)).alias("_rows"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.withColumn("_text_mark", mark)
+    joined = rows.join(totals, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_mark") == F.col("_mark")))
+    place = F.row_number().over(W.partitionBy("_id", "_mark").orderBy(F.lit(1)))
+    own = F.floor(F.col("_times") / F.col("_rows")) + F.when(F.col("_place") <= F.col("_times") % F.col("_rows"), 1).otherwise(0)
+    counted = joined.withColumn("_place", place).withColumn("_own", own).where(F.col("_own") > 0)
+    return counted.withColumn("_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_own")))).select(*columns)

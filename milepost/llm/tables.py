@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +32,22 @@ def later_copies(docs: DataFrame) -> DataFrame:
     digests = write_once(digests, "text-digests")
     firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     return digests.join(firsts, "digest").where(F.col("doc_id") > F.col("first")).select("doc_id").distinct()
+
+
+def with_clear_names(docs: DataFrame, taken: Iterable[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(docs)`` with columns of ``docs`` that bear one of the names ``taken`` set aside.
+
+    They get other names before and their own afterwards, so that ``work`` can use its names.
+    """
+    own = {c.lower() for c in docs.columns}
+    aside = {}
+    for c in docs.columns:
+        if c.lower() in {t.lower() for t in taken}:
+            new = f"_aside_{c}"
+            while new.lower() in own:
+                new += "_"
+            aside[c] = new
+            own.add(new.lower())
+    done = work(docs.withColumnsRenamed(aside))
+    back = {v: k for k, v in aside.items()}
+    return done.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in done.columns])
