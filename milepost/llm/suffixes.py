@@ -94,7 +94,7 @@ def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarra
         have += step
         if have == length:
             return rank
-    return rank[starts]
+    return _ranked(rank[starts])
 
 
 def first_windows(table: pa.Table, length: int) -> pa.Table:
