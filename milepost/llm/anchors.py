@@ -10,6 +10,11 @@ text and place only go back to their document, whose other windows are the candi
 Whole copies of a text are told by a digest first. All their windows start earlier in the
 copy with the least doc_id, so they are finished at once, and their anchors do not count as
 repeats: an anchor that only copies of one text share, at one place, counts as met once.
+
+Candidate windows fall into segments: neighbours with the same anchor. Segments are compared
+by a hash of their content first, and only the first of each content goes on: the others
+start later as a whole. The texts are shuffled once, by doc_id; all steps of a query read
+that one exchange.
 """
 
 from __future__ import annotations
@@ -24,8 +29,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from milepost.llm.arrays import BYTE_KEYS, U64, inside_texts, ranges, sliding, text_runs, window_hashes, winnowed, word_hashes, words
-from milepost.llm.tables import later_copies, store_texts
+from milepost.llm.arrays import BYTE_KEYS, U64, inside_texts, range_hashes, ranges, sliding, text_runs, window_hashes, winnowed, word_hashes, words
+from milepost.llm.tables import later_copies
+from milepost.operators.windows import write_once
 
 LAST = U64(2**64 - 1)
 COPY = -1
@@ -55,6 +61,10 @@ class Run:
         else:
             self.bounds, self.values = offsets, BYTE_KEYS[0][data]
 
+    def other_values(self) -> np.ndarray:
+        """The units by an independent hash."""
+        return word_hashes(self.data, self.starts, self.ends, 1) if self.shape.kind == "word" else BYTE_KEYS[1][self.data]
+
     def anchors(self) -> np.ndarray:
         """Hash of the ``k`` units at each unit, with its last bit free; the greatest value where a text ends."""
         hashes = window_hashes(self.values, self.shape.k) & ~U64(1)
@@ -92,11 +102,6 @@ def lists(column: pa.Array, first: int, last: int) -> tuple[np.ndarray, np.ndarr
     return part.flatten().to_numpy(zero_copy_only=False), lengths.astype(np.int64)
 
 
-def as_lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
-    ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(np.int32)))
-
-
 def stretches(places: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of the consecutive runs in ``places``; a run also starts at ``breaks``."""
     if not len(places):
@@ -131,96 +136,109 @@ def anchor_counts(docs: DataFrame, shape: Shape) -> DataFrame:
     return counts.select("hash", "n", "doc_id", F.col("min_at").alias("at"), once.alias("once"))
 
 
-def _candidates(shape: Shape):
+def singles(docs: DataFrame, once: DataFrame, purpose: str) -> DataFrame:
+    """``doc_id, single``: places of anchors met once per document; ``COPY`` marks whole copies."""
+    marked = once.union(later_copies(docs).select("doc_id", F.lit(COPY).alias("at")))
+    return write_once(marked.groupBy("doc_id").agg(F.collect_list("at").alias("single")), purpose)
+
+
+def candidates(units: Run, column: pa.Array, known: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows that may repeat, the anchor of every window start, and which texts are copies."""
+    shape = units.shape
+    hashes = units.anchors()
+    at, counts = lists(column, first, last)
+    owner = np.repeat(np.arange(last - first), counts)
+    copy = np.zeros(last - first, bool)
+    copy[owner[at == COPY]] = True
+    owner, at = owner[at != COPY], at[at != COPY]
+    hashes[units.bounds[owner] + at] |= U64(1)
+    windows = units.windows()
+    least = sliding(hashes, shape.width) if len(windows) else hashes
+    windows = windows[(least[windows] & U64(1)) == 0]
+    text, _ = units.local(windows)
+    return windows[known[first:last][text] & ~copy[text]], least, copy
+
+
+def segments(units: Run, windows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of each run with one key in one text."""
+    text, _ = units.local(windows)
+    breaks = np.concatenate(([True], (np.diff(text) != 0) | (keys[1:] != keys[:-1])))[: len(windows)]
+    return stretches(windows, breaks)
+
+
+def _contents(shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for first, last, data, offsets in text_runs(batch.column("text")):
                 units = Run(shape, data, offsets)
-                hashes = units.anchors()
-                at, counts = lists(batch.column("single"), first, last)
-                owner = np.repeat(np.arange(last - first), counts)
-                copy = np.zeros(last - first, bool)
-                copy[owner[at == COPY]] = True
-                owner, at = owner[at != COPY], at[at != COPY]
-                hashes[units.bounds[owner] + at] |= U64(1)
-                windows = units.windows()
-                if len(windows):
-                    least = sliding(hashes, shape.width)
-                    windows = windows[(least[windows] & U64(1)) == 0]
-                text, place = units.local(windows)
-                good = known[first:last][text] & ~copy[text]
-                windows, text, place = windows[good], text[good], place[good]
-                breaks = np.concatenate(([True], np.diff(text) != 0)) if len(text) else np.zeros(0, bool)
-                starts, sizes = stretches(windows, breaks)
-                owner, place = units.local(starts)
-                pairs = np.stack((place, sizes), axis=1).ravel()
-                has = np.bincount(owner, minlength=last - first)
-                texts = batch.column("text").slice(first, last - first)
-                size = np.diff(units.bounds)
-                gone = copy & (size >= shape.length)
-                digests = units.digests(~np.repeat(gone, size))
+                windows, least, _ = candidates(units, batch.column("single"), known, first, last)
+                starts, sizes = segments(units, windows, least[windows])
+                if not len(starts):
+                    continue
+                ends = starts + sizes + shape.length - 1
+                text, at = units.local(starts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(first, last - first),
-                        pa.array(size),
-                        pa.array(gone),
-                        as_lists(pairs, 2 * has),
-                        texts.take(pa.array(np.arange(last - first), mask=has == 0)),
-                        pa.array([None if h else d for h, d in zip(has, digests)], pa.string()),
+                        pa.array(range_hashes(units.values, starts, ends).view(np.int64)),
+                        pa.array(range_hashes(units.other_values(), starts, ends, 1).view(np.int64)),
+                        pa.array(ids[first:last][text].astype(np.int64)),
+                        pa.array(at.astype(np.int32)),
+                        pa.array(sizes.astype(np.int32)),
                     ],
-                    names=["doc_id", "size", "gone", "runs", "text", "digest"],
+                    names=["one", "two", "doc_id", "at", "n"],
                 )
     return run
 
 
-def candidates(docs: DataFrame, once: DataFrame, shape: Shape) -> DataFrame:
-    """One stored row per document; those without candidate windows are finished.
-
-    ``once(doc_id, at)`` has the anchors met once. ``runs`` has pairs of the first window of
-    a run and the number of windows. ``text`` is kept only where there are runs, ``digest``
-    only where there are none; ``gone`` marks whole copies.
-    """
-    marked = once.union(later_copies(docs).select("doc_id", F.lit(COPY).alias("at")))
-    single = marked.groupBy("doc_id").agg(F.collect_list("at").alias("single"))
-    rows = docs.select("doc_id", "text").join(single, "doc_id", "left").select("doc_id", "text", "single")
-    schema = "doc_id long, size long, gone boolean, runs array<int>, text string, digest string"
-    return store_texts(rows.mapInArrow(_candidates(shape), schema), f"repeats-{shape.kind}")
+def first_segments(docs: DataFrame, single: DataFrame, shape: Shape) -> DataFrame:
+    """``doc_id, text, at, n``: each text with its segments that are the first of their content."""
+    rows = docs.join(single, "doc_id", "left").select("doc_id", "text", "single")
+    found = rows.mapInArrow(_contents(shape), "one long, two long, doc_id long, at int, n int")
+    firsts = (
+        found.groupBy("one", "two")
+        .agg(F.min(F.struct("doc_id", "at", "n")).alias("place"))
+        .groupBy(F.col("place.doc_id").alias("doc_id"))
+        .agg(F.collect_list("place.at").alias("at"), F.collect_list("place.n").alias("n"))
+    )
+    return docs.join(firsts, "doc_id", "left").select("doc_id", "text", "at", "n")
 
 
-def run_windows(units: Run, column: pa.Array, first: int, last: int) -> np.ndarray:
-    """The candidate windows of a run of texts, from their stored pairs."""
-    pairs, counts = lists(column, first, last)
-    starts = np.repeat(units.bounds[:-1], counts // 2) + pairs[::2]
-    return ranges(starts, pairs[1::2].astype(np.int64))
+def listed_windows(units: Run, batch: pa.RecordBatch, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the runs of windows listed in columns ``at`` and ``n``, in order."""
+    at, counts = lists(batch.column("at"), first, last)
+    sizes, _ = lists(batch.column("n"), first, last)
+    starts = np.repeat(units.bounds[:-1], counts) + at
+    order = np.argsort(starts, kind="stable")
+    return starts[order].astype(np.int64), sizes[order].astype(np.int64)
 
 
 def _finish(shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             for first, last, data, offsets in text_runs(batch.column("text")):
                 units = Run(shape, data, offsets)
+                windows, _, copy = candidates(units, batch.column("single"), known, first, last)
                 repeats = np.zeros(len(units.values) + 1, bool)
-                repeats[run_windows(units, batch.column("runs"), first, last)] = True
-                at, counts = lists(batch.column("at"), first, last)
-                sizes, _ = lists(batch.column("n"), first, last)
-                repeats[ranges(np.repeat(units.bounds[:-1], counts) + at, sizes.astype(np.int64))] = False
+                repeats[windows] = True
+                repeats[ranges(*listed_windows(units, batch, first, last))] = False
                 places = np.flatnonzero(repeats)
                 edge = np.zeros(len(units.values) + 1, np.int64)
                 np.add.at(edge, places, 1)
                 np.add.at(edge, places + shape.length, -1)
-                gone = np.cumsum(edge)[:-1] > 0
+                size = np.diff(units.bounds)
+                gone = (np.cumsum(edge)[:-1] > 0) | np.repeat(copy & (size >= shape.length), size)
                 lost = np.flatnonzero(gone)
-                text, _ = units.local(lost)
-                breaks = np.concatenate(([True], np.diff(text) != 0)) if len(text) else np.zeros(0, bool)
-                starts, sizes = stretches(lost, breaks)
+                starts, sizes = segments(units, lost, np.zeros(len(lost), U64))
                 owner, place = units.local(starts)
                 spans = np.bincount(owner, minlength=last - first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, last - first),
-                        pa.array(np.diff(units.bounds)),
-                        pa.array(np.bincount(text, minlength=last - first)),
+                        pa.array(size),
+                        pa.array(np.bincount(units.local(lost)[0], minlength=last - first)),
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate(([0], np.cumsum(spans))).astype(np.int32)),
                             pa.StructArray.from_arrays([pa.array(place.astype(np.int32)), pa.array(sizes.astype(np.int32))], ["start", "length"]),
@@ -232,20 +250,11 @@ def _finish(shape: Shape):
     return run
 
 
-def without_repeats(found: DataFrame, firsts: DataFrame, shape: Shape) -> DataFrame:
-    """``doc_id, size, removed, spans, kept_sha256`` from candidate rows.
+def without_repeats(docs: DataFrame, single: DataFrame, firsts: DataFrame, shape: Shape) -> DataFrame:
+    """``doc_id, size, removed, spans, kept_sha256`` of every document.
 
     ``firsts(doc_id, at, n)`` lists the candidate windows that are the first of their
     content: runs of ``n`` windows from ``at`` on. All other candidates repeat an earlier one.
     """
-    spans = "array<struct<start:int,length:int>>"
-    open_ = found.where(F.col("text").isNotNull()).join(firsts, "doc_id", "left").select("doc_id", "text", "runs", "at", "n")
-    rest = found.where(F.col("text").isNull()).select(
-        "doc_id",
-        "size",
-        F.when(F.col("gone"), F.col("size")).otherwise(0).alias("removed"),
-        F.when(F.col("gone"), F.array(F.struct(F.lit(0).alias("start"), F.col("size").cast("int").alias("length")))).otherwise(F.array()).cast(spans).alias("spans"),
-        F.col("digest").alias("kept_sha256"),
-    )
-    schema = f"doc_id long, size long, removed long, spans {spans}, kept_sha256 string"
-    return open_.mapInArrow(_finish(shape), schema).unionByName(rest)
+    rows = docs.join(single, "doc_id", "left").join(firsts, "doc_id", "left").select("doc_id", "text", "single", "at", "n")
+    return rows.mapInArrow(_finish(shape), "doc_id long, size long, removed long, spans array<struct<start:int,length:int>>, kept_sha256 string")

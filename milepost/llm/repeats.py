@@ -22,28 +22,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from milepost.llm.anchors import Run, Shape, anchor_counts, candidates, run_windows, without_repeats
-from milepost.llm.arrays import U64, text_runs, window_hashes, word_hashes
+from milepost.llm.anchors import Run, Shape, anchor_counts, first_segments, listed_windows, singles, without_repeats
+from milepost.llm.arrays import U64, ranges, text_runs, window_hashes
 
 LENGTH, SEED = 20, 4
 
 
 def _extend(shape: Shape):
-    """The candidate windows with two independent hashes of their words."""
+    """The listed windows with two independent hashes of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for first, last, data, offsets in text_runs(batch.column("text")):
                 units = Run(shape, data, offsets)
-                windows = run_windows(units, batch.column("runs"), first, last)
-                other = word_hashes(data, units.starts, units.ends, 1)
+                windows = ranges(*listed_windows(units, batch, first, last))
+                if not len(windows):
+                    continue
                 text, at = units.local(windows)
+                other = window_hashes(units.other_values(), shape.length, 1)[windows] >> U64(32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(window_hashes(units.values, shape.length)[windows].view(np.int64)),
-                        pa.array((window_hashes(other, shape.length, 1)[windows] >> U64(32)).astype(np.uint32).view(np.int32)),
-                        pa.array(ids[first:last][text]),
+                        pa.array(other.astype(np.uint32).view(np.int32)),
+                        pa.array(ids[first:last][text].astype(np.int64)),
                         pa.array(at.astype(np.int32)),
                     ],
                     names=["one", "two", "doc_id", "at"],
@@ -58,14 +60,13 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -
     of words of each removed stretch) and ``kept_sha256`` (of the kept words, joined by one
     space).
     """
-    shape = Shape("word", length, seed)
-    found = candidates(docs, anchor_counts(docs, shape).where("once").select("doc_id", "at"), shape)
-    windows = found.where(F.col("text").isNotNull()).select("doc_id", "text", "runs")
-    windows = windows.mapInArrow(_extend(shape), "one long, two int, doc_id long, at int")
+    shape, docs = Shape("word", length, seed), docs.select("doc_id", "text")
+    single = singles(docs, anchor_counts(docs, shape).where("once").select("doc_id", "at"), "repeats-words")
+    windows = first_segments(docs, single, shape).mapInArrow(_extend(shape), "one long, two int, doc_id long, at int")
     firsts = (
         windows.groupBy("one", "two")
         .agg(F.min(F.struct("doc_id", "at")).alias("place"))
         .groupBy(F.col("place.doc_id").alias("doc_id"))
         .agg(F.collect_list("place.at").alias("at"), F.collect_list(F.lit(1)).alias("n"))
     )
-    return without_repeats(found, firsts, shape)
+    return without_repeats(docs, single, firsts, shape)

@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from milepost.llm.anchors import Run, Shape, anchor_counts, candidates, run_windows, stretches, without_repeats
+from milepost.llm.anchors import Run, Shape, anchor_counts, first_segments, listed_windows, singles, stretches, without_repeats
 from milepost.llm.arrays import U64, large_binary, ranges, sliding, text_runs, window_hashes
 from milepost.operators.windows import write_once
 
 LENGTH, SEED = 100, 16
 HOT, MOST_HOT = 1024, 1 << 20
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def _least_places(table: pa.Table) -> pa.Table:
@@ -51,21 +51,20 @@ def _segments(shape: Shape, hot: np.ndarray):
             ids, parts = batch.column("doc_id").to_numpy(zero_copy_only=False), []
             for first, last, data, offsets in text_runs(batch.column("text")):
                 units = Run(shape, data, offsets)
-                windows = run_windows(units, batch.column("runs"), first, last)
-                if not len(windows):
+                starts, sizes = listed_windows(units, batch, first, last)
+                if not len(starts):
                     continue
-                keys = sliding(units.anchors(), shape.width)[windows]
-                text, _ = units.local(windows)
+                keys = sliding(units.anchors(), shape.width)[starts]
                 single = np.isin(keys, hot)
-                keys[single] = window_hashes(units.values, shape.length)[windows][single]
-                breaks = np.concatenate(([True], (np.diff(keys) != 0) | (np.diff(text) != 0)))
-                starts, sizes = stretches(windows, breaks)
-                lengths = sizes + shape.length - 1
+                windows = ranges(starts[single], sizes[single])
+                keys = np.concatenate((keys[~single], window_hashes(units.values, shape.length)[windows]))
+                starts = np.concatenate((starts[~single], windows))
+                lengths = np.concatenate((sizes[~single], np.ones(len(windows), np.int64))) + shape.length - 1
                 text, at = units.local(starts)
                 parts.append(pa.table({
-                    "key": pa.array(keys[np.searchsorted(windows, starts)].view(np.int64)),
+                    "key": pa.array(keys.view(np.int64)),
                     "content": large_binary(data[ranges(starts, lengths)], np.concatenate(([0], np.cumsum(lengths)))),
-                    "doc_id": pa.array(ids[first:last][text]),
+                    "doc_id": pa.array(ids[first:last][text].astype(np.int64)),
                     "at": pa.array(at.astype(np.int32)),
                 }))
             if parts:
@@ -151,7 +150,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     Returns ``doc_id, size`` (bytes), ``removed`` (bytes), ``spans`` (first byte and number
     of bytes of each removed stretch) and ``kept_sha256`` (of the remaining bytes).
     """
-    shape = Shape("byte", length, seed)
+    shape, docs = Shape("byte", length, seed), docs.select("doc_id", "text")
     frequent, met = F.col("n") > HOT, F.col("once")
     kept = write_once(
         anchor_counts(docs, shape)
@@ -163,15 +162,15 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     while hot.where(F.col("n") > limit).count() > MOST_HOT:
         limit *= 2
     frequent = np.array([r[0] for r in hot.where(F.col("n") > limit).select("hash").collect()], np.int64).view(U64)
-    found = candidates(docs, kept.where(F.col("hash").isNull()).select("doc_id", "at"), shape)
-    segments = found.where(F.col("text").isNotNull()).select("doc_id", "text", "runs")
-    segments = segments.mapInArrow(_segments(shape, frequent), "key long, content binary, doc_id long, at int")
+    single = singles(docs, kept.where(F.col("hash").isNull()).select("doc_id", "at"), "repeats-bytes")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     firsts = (
-        segments.repartition(parts, "key")
+        first_segments(docs, single, shape)
+        .mapInArrow(_segments(shape, frequent), "key long, content binary, doc_id long, at int")
+        .repartition(parts, "key")
         .sortWithinPartitions("key")
         .mapInArrow(_suffix_arrays(length), "doc_id long, at int, n int")
         .groupBy("doc_id")
         .agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
     )
-    return without_repeats(found, firsts, shape)
+    return without_repeats(docs, single, firsts, shape)
