@@ -108,6 +108,16 @@ def test_bit_slices_are_exact(vectors):
     check(found.collect(), brute(asked, scaled, 5, product, -1))
 
 
+def test_bit_slices_against_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    duckdb.sql(f"CREATE OR REPLACE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
+    expected = duckdb.sql(queries.oracle_sql()["op4_bit_slices"]).fetchall()
+    found = queries.op4_bit_slices(spark, sf).collect()
+    assert sorted(map(tuple, found)) == sorted(expected) and len(expected) == 50
+
+
 def test_weighted_sums_and_selection():
     rng = np.random.default_rng(6)
     for span in (1, 3, 900):
