@@ -421,6 +421,16 @@ def _silver() -> dict[str, str]:
             SELECT drive_id, driver_id, p_source_date,
                    CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS load
             FROM d WHERE o_orderstatus = 'F' OR drive_id % 50 <> 7""", d=DATED),
+        "silver_trips_incremental": _sql(
+            """
+            SELECT CASE WHEN drive_id % 50 <> 7 THEN drive_id END AS drive_id, driver_id, p_source_date,
+                   drive_id AS feed_row
+            FROM d""", d=DATED),
+        "silver_events_by_date": _sql(
+            """
+            SELECT drive_id, driver_id, p_source_date,
+                   CASE WHEN p_source_date >= DATE '1998-01-01' THEN 2 ELSE 1 END AS load
+            FROM d""", d=DATED),
         "conform_drivers": _conform("drivers", f"""
             SELECT {_long('driver_id')} AS driver_id, {_squeeze('driver_name', FILL)} AS driver_name,
                    {_long('group_id')} AS group_id, {_squeeze('driver_code', FILL)} AS driver_code,
@@ -435,10 +445,10 @@ def _silver() -> dict[str, str]:
                    {_squeeze('external_id', FILL)} AS external_id FROM r"""),
         "conform_schemes": _conform("schemes", f"""
             SELECT {_long('scheme_id')} AS scheme_id,
-                   substring({_squeeze('scheme_description', FILL)}, 1, 600) AS scheme_description,
-                   substring({_squeeze('description', FILL)}, 1, 600) AS description,
-                   substring({_squeeze('parent_scheme', FILL)}, 1, 300) AS parent_scheme,
-                   substring({_squeeze('scheme_type', FILL)}, 1, 200) AS scheme_type,
+                   {_squeeze('scheme_description', FILL)} AS scheme_description,
+                   {_squeeze('description', FILL)} AS description,
+                   {_squeeze('parent_scheme', FILL)} AS parent_scheme,
+                   {_squeeze('scheme_type', FILL)} AS scheme_type,
                    {TODAY} AS p_load_date,
                    {_file_day('_source_file', LOOSE)} AS p_source_date FROM r"""),
         "conform_vehicles": _conform("vehicles", f"""
@@ -691,6 +701,11 @@ CONTRIBUTORS = f"""
           WHERE end_drive IS NOT NULL AND driver_id IS NOT NULL AND vehicle_engine_type IS NOT NULL
           GROUP BY ALL)"""
 
+MEANS = """
+    SELECT group_id, vehicle_engine_type, ym,
+           CAST(sum(CAST(own AS DECIMAL(28, 9))) AS DOUBLE) / count(own) AS mean
+    FROM contributors WHERE own IS NOT NULL GROUP BY ALL"""
+
 RECENT = f"""
     SELECT d.driver_id, d.driver_name, g.group_id, g.group_name, {_month('end_drive')} AS ym,
            {_pct('sum(points)', 'sum(coalesce(mileage, 0))')} AS pct
@@ -779,7 +794,7 @@ def _marts() -> dict[str, str]:
         "mv_driver_contribution": _sql(
             f"""
             SELECT group_id, group_name, vehicle_engine_type, ym, driver_id, driver_name,
-                   own AS driver_avg_economy, round(mean, 6) AS fleet_avg_economy,
+                   own AS driver_avg_economy, mean AS fleet_avg_economy,
                    round(own - mean, 4) AS economy_delta,
                    CASE WHEN round(own - mean, 4) > 0 THEN '{better}'
                         WHEN round(own - mean, 4) < 0 THEN '{worse}' ELSE '{same}' END AS impacto_economia
@@ -789,8 +804,20 @@ def _marts() -> dict[str, str]:
                  LEFT JOIN names USING (driver_id)
             WHERE place = 1""",
             *PLACES, "d_drivers", contributors=CONTRIBUTORS, names=NAMES,
-            means="""SELECT group_id, vehicle_engine_type, ym, avg(own) AS mean FROM contributors
-                     WHERE own IS NOT NULL GROUP BY ALL"""),
+            means=MEANS),
+        "mv_driver_contribution_all": _sql(
+            f"""
+            SELECT c.group_id, c.group_name, c.vehicle_engine_type, c.ym, c.driver_id, driver_name,
+                   own AS driver_avg_economy, mean AS fleet_avg_economy,
+                   round(own - mean, 4) AS economy_delta,
+                   CASE WHEN round(own - mean, 4) > 0 THEN '{better}'
+                        WHEN round(own - mean, 4) < 0 THEN '{worse}' ELSE '{same}' END AS impacto_economia
+            FROM contributors c
+                 JOIN (SELECT *, max(ym) OVER (PARTITION BY group_id, vehicle_engine_type) AS newest FROM means) f
+                      USING (group_id, vehicle_engine_type, ym)
+                 LEFT JOIN names USING (driver_id)
+            WHERE ym = newest""",
+            *PLACES, "d_drivers", contributors=CONTRIBUTORS, names=NAMES, means=MEANS),
         "mv_economy_offenders": _sql(
             """
             SELECT group_id, group_name, driver_id AS top_driver_id, driver_name AS top_driver_name,

@@ -27,7 +27,13 @@ from milepost.session import shared_dir
 from milepost.sources import feeds
 from milepost.sources import projection as T
 from milepost.sources.bronze import SOURCE_FILE, read_bronze, route_landing
-from milepost.sources.silver import PARTITION, append_unseen, write_partitions
+from milepost.sources.silver import (
+    PARTITION,
+    append_unseen,
+    load_keyed,
+    read_keyed,
+    write_partitions,
+)
 from milepost.streaming.ingest import ingest, stream_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -424,10 +430,31 @@ def _mart(name: str) -> Query:
     return query
 
 
-def driver_contribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart with its mean rounded: a mean of doubles depends on the order of addition."""
-    mart = economy.mv_driver_contribution(T.fleet(spark, sf_dir), AS_OF)
-    return mart.withColumn("fleet_avg_economy", F.round("fleet_avg_economy", 6))
+def driver_contribution_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every driver of the newest month instead of the one with the smallest id."""
+    return economy.mv_driver_contribution(T.fleet(spark, sf_dir), AS_OF, all_drivers=True)
+
+
+def silver_trips_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of one feed: trips with and without drive id are there once."""
+    path = shared_dir(spark, "silver-trips")
+    trips = _dated_trips(spark, sf_dir)
+    keyed = F.when(F.col("drive_id") % 50 != 7, F.col("drive_id")).alias("drive_id")
+    arrived = trips.select(keyed, "driver_id", PARTITION, F.col("drive_id").alias("feed_row"))
+    load_keyed(spark, arrived.filter(trips["o_orderstatus"] == "F"), path, "drive_id")
+    for _ in range(2):
+        load_keyed(spark, arrived, path, "drive_id")
+    return read_keyed(spark, path)
+
+
+def silver_events_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load replaces the dates it has; a date that it lacks stays."""
+    path = shared_dir(spark, "silver-events")
+    trips = _dated_trips(spark, sf_dir).select("drive_id", "driver_id", PARTITION)
+    write_partitions(trips.withColumn("load", F.lit(1)), path)
+    again = trips.filter(F.col(PARTITION) >= F.lit(SECOND_LOAD)).withColumn("load", F.lit(2))
+    write_partitions(again, path)
+    return spark.read.parquet(path)
 
 
 def queries() -> dict[str, Query]:
@@ -453,6 +480,8 @@ def queries() -> dict[str, Query]:
         "dedup_trips": dedup_trips,
         "drivers_official_date": drivers_official_date,
         "trips_incremental": trips_incremental,
+        "silver_trips_incremental": silver_trips_incremental,
+        "silver_events_by_date": silver_events_by_date,
         "conform_drivers": conform_drivers,
         "conform_groups": conform_groups,
         "conform_schemes": conform_schemes,
@@ -488,5 +517,5 @@ def queries() -> dict[str, Query]:
         "trend_label": trend_label,
     }
     marts = {name: _mart(name) for name in MARTS}
-    marts["mv_driver_contribution"] = driver_contribution
+    marts["mv_driver_contribution_all"] = driver_contribution_all
     return {**silver, **operators, **marts}

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from milepost.constants import SCHEME_TEXT_LENGTHS
 from milepost.functions.parsing import as_date, plain_double, to_long
 from milepost.schemas import WAREHOUSE
 
@@ -56,10 +55,12 @@ def conform_groups(df: DataFrame) -> DataFrame:
     return conform(df, "d_groups", "group_id")
 
 
-def conform_schemes(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+def conform_schemes(
+    df: DataFrame, as_of: dt.date | None = None, lengths: dict[str, int] | None = None
+) -> DataFrame:
+    """Schemes with their whole texts; ``lengths`` cuts some, as for a column of fixed width."""
     return conform(
-        df, "d_schemes", "scheme_id",
-        computed={"p_load_date": as_date(as_of)}, lengths=SCHEME_TEXT_LENGTHS,
+        df, "d_schemes", "scheme_id", computed={"p_load_date": as_date(as_of)}, lengths=lengths
     )
 
 

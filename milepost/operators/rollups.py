@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from milepost.functions.metrics import safety_points
 from milepost.functions.parsing import month_start
@@ -23,6 +24,7 @@ TRIP_MEASURES = (
     "points", "mileage", "energy_used",
     "engine", "speed_road3", "acceleration3", "idle_duration", "gearbox",
 )
+EXACT_PLACES = 6
 EVENT_KEYS = ("driver_id", "scheme_id", "vehicle_id", "trip_month", "event_month")
 
 
@@ -53,10 +55,20 @@ def trip_rows(trips: DataFrame) -> DataFrame:
         month_start(F.col("start_drive")).alias("start_month"),
         month_start(F.col("end_drive")).alias("end_month"),
         safety_points().alias("points"),
-        *TRIP_MEASURES[1:],
+        *[_exact(trips, m) for m in TRIP_MEASURES[1:]],
     )
 
 
+def _exact(df: DataFrame, measure: str) -> Column:
+    """Doubles as decimals: their sums do not depend on the order of the rows.
+
+    What no decimal can hold, NaN among it, is unknown.
+    """
+    if isinstance(df.schema[measure].dataType, T.DoubleType | T.FloatType):
+        return F.col(measure).try_cast(f"decimal(24,{EXACT_PLACES})").alias(measure)
+    return F.col(measure)
+
+
 def add_up(rows: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Sum of each measure per key; a measure unknown throughout stays NULL."""
     return rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
@@ -93,7 +105,7 @@ def event_trip_rows(events: DataFrame, trips: DataFrame, labels: DataFrame | Non
         month_start(F.col("start_time")).alias("event_month"),
     )
     if labels is not None:
-        ev = ev.join(labels, "scheme_id")
+        ev = ev.join(labels.select("scheme_id"), "scheme_id", "left_semi")
     tr = trips.select(
         "drive_id", "driver_id", month_start(F.col("start_drive")).alias("trip_month")
     )
@@ -112,10 +124,7 @@ def event_counts(
     schemes it does not list are left out.
     """
     if fleet.event_rollup is not None:
-        rows = _known(fleet.event_rollup, known)
-        if labels is not None:
-            rows = rows.join(labels, "scheme_id")
-        count = F.sum("n")
+        rows, count = _known(fleet.event_rollup, known), F.sum("n")
     else:
         rows = event_trip_rows(
             _known_raw(fleet.events, [c for c in known if c not in OF_TRIP]),
@@ -123,7 +132,12 @@ def event_counts(
             labels,
         )
         count = F.count(F.lit(1))
-    return rows.groupBy(*keys).agg(count.alias("n"))
+    if labels is None:
+        return rows.groupBy(*keys).agg(count.alias("n"))
+    # labels meet counts: no text travels with the facts, however many labels a scheme has
+    own = [k for k in keys if k == "scheme_id" or k not in labels.columns]
+    counts = rows.groupBy(*dict.fromkeys([*own, "scheme_id"])).agg(count.alias("n"))
+    return counts.join(labels, "scheme_id").groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
 def event_rollup(fleet: Fleet) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from milepost.constants import ECONOMY_MESSAGE, GROUP_ECONOMY_MESSAGE, UNNAMED_DRIVER
 from milepost.functions import metrics as M
@@ -162,6 +163,12 @@ def mv_fleet_economy_comparison(fleet: Fleet, as_of: dt.date | None = None) -> D
     )
 
 
+def exact_mean(ratio: str) -> Column:
+    """Mean of ratios as decimals, so that it does not depend on the order of addition."""
+    value = F.col(ratio).try_cast("decimal(28,9)")
+    return F.sum(value).cast("double") / F.count(value)
+
+
 def mv_driver_contribution(
     fleet: Fleet, as_of: dt.date | None = None, all_drivers: bool = False
 ) -> DataFrame:
@@ -180,7 +187,7 @@ def mv_driver_contribution(
         )
     )
     months = drivers.groupBy(*FLEET_KEYS, "ym").agg(
-        F.avg("driver_avg_economy").alias("fleet_avg_economy"),
+        exact_mean("driver_avg_economy").alias("fleet_avg_economy"),
         F.min("driver_id").alias("driver_id"),
         F.min_by("driver_avg_economy", "driver_id").alias("driver_avg_economy"),
     ).filter(F.col("fleet_avg_economy").isNotNull())
@@ -228,9 +235,9 @@ def mv_economy_offenders(fleet: Fleet, as_of: dt.date | None = None) -> DataFram
         economy_offenders(fleet), ["group_id", "ofensor"],
         [F.col("total_events").desc(), F.col("driver_id"), F.col("group_name").asc_nulls_first()], 1,
     ).drop("_rank").withColumnRenamed("driver_id", "top_driver_id")
-    ranked = top_rows(  # five offenders at most per group
-        top, ["group_id"], [F.col("total_events").desc(), F.col("ofensor")], 5, "ranking"
-    )
+    # one row per offender and group, so a group is as large as the list of offenders
+    place = W.partitionBy("group_id").orderBy(F.col("total_events").desc(), "ofensor")
+    ranked = top.withColumn("ranking", F.row_number().over(place))
     return J.with_top_driver_name(ranked, fleet).select(
         "group_id", "group_name", "top_driver_id", "top_driver_name", "ofensor",
         "total_events", "action_recommended", F.col("ranking").cast("bigint").alias("ranking"),

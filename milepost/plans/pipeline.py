@@ -6,16 +6,25 @@ import argparse
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from milepost.operators.conform import CONFORM
 from milepost.operators.quality import require_checkpoint
 from milepost.plans import silver as S
-from milepost.plans.marts import refresh_marts
+from milepost.plans.marts import create_views, refresh_marts
 from milepost.schemas import BRONZE, Fleet
 from milepost.session import build_session, shuffle_partitions
 from milepost.sources.bronze import SOURCE_FILE, read_bronze
 from milepost.sources.reference import load_dictionary, load_parameters
-from milepost.sources.silver import append_unseen, read_table, write_snapshot
+from milepost.sources.silver import (
+    keyless_path,
+    load_keyed,
+    read_keyed,
+    read_table,
+    register_table,
+    write_partitions,
+    write_snapshot,
+)
 
 
 def load_silver(
@@ -33,21 +42,23 @@ def load_silver(
     def path(feed: str) -> str:
         return f"{out}/silver/{feed}"
 
-    trips = S.silver_trips(raw("trips"))
+    trips = S.silver_trips(raw("trips")).drop(SOURCE_FILE)
     if incremental_trips:
-        append_unseen(spark, trips.drop(SOURCE_FILE), path("trips"), "drive_id")
+        load_keyed(spark, trips, path("trips"), "drive_id")
     else:
-        write_snapshot(trips.drop(SOURCE_FILE), path("trips"))
+        write_snapshot(trips.filter("drive_id IS NOT NULL"), path("trips"))
+        write_snapshot(trips.filter("drive_id IS NULL"), keyless_path(path("trips")))
 
     for feed, build in (
-        ("groups", S.silver_groups), ("schemes", S.silver_schemes),
-        ("vehicles", S.silver_vehicles), ("events", S.silver_events),
+        ("groups", S.silver_groups), ("schemes", S.silver_schemes), ("vehicles", S.silver_vehicles),
     ):
         write_snapshot(build(raw(feed), as_of).drop(SOURCE_FILE), path(feed))
+    # events of dates that bronze no longer holds stay
+    write_partitions(S.silver_events(raw("events"), as_of).drop(SOURCE_FILE), path("events"))
 
-    stored_trips = read_table(spark, path("trips"))
+    stored_trips = read_keyed(spark, path("trips"))
     write_snapshot(S.silver_drivers(raw("drivers"), stored_trips), path("drivers"))
-    return {feed: read_table(spark, path(feed)) for feed in BRONZE}
+    return {f: read_keyed(spark, path(f)) if f == "trips" else read_table(spark, path(f)) for f in BRONZE}
 
 
 def load_warehouse(
@@ -71,8 +82,13 @@ def run_pipeline(
     parameters: DataFrame,
     as_of: dt.date | None = None,
     incremental_trips: bool = True,
+    database: str | None = None,
 ) -> dict[str, str]:
-    """Run all layers and return the paths of the stored marts."""
+    """Run all layers and return the paths of the stored marts.
+
+    With ``database`` the warehouse tables and marts can be read by name there afterwards,
+    and the views exist in the session.
+    """
     silver = load_silver(spark, bronze, out, as_of, incremental_trips)
     require_checkpoint(spark, silver)
     tables = load_warehouse(spark, silver, out, as_of)
@@ -86,7 +102,20 @@ def run_pipeline(
         event_dictionary=dictionary,
         parameters=parameters,
     )
-    return refresh_marts(spark, fleet, f"{out}/marts", as_of=as_of)
+    paths = refresh_marts(spark, fleet, f"{out}/marts", as_of=as_of)
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        stored = {name: f"{out}/warehouse/{name}" for name in CONFORM} | paths
+        for name, path in stored.items():
+            register_table(spark, f"{database}.{name}", path)
+        create_views(fleet, as_of=as_of)
+    return paths
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder; only their listing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -98,16 +127,15 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--parameters", required=True)
     args.add_argument("--as-of", type=dt.date.fromisoformat)
     args.add_argument("--full-trips", action="store_true")
-    args.add_argument("--bronze-bytes", type=int, default=0, help="size of the largest feed")
+    args.add_argument("--database", help="register tables and marts there")
     given = args.parse_args(argv)
-    spark = build_session(
-        "milepost-pipeline",
-        spark__sql__shuffle__partitions=str(shuffle_partitions(given.bronze_bytes)),
-    )
+    spark = build_session("milepost-pipeline")
+    partitions = shuffle_partitions(input_bytes(spark, given.bronze))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     run_pipeline(
         spark, given.bronze, given.out,
         load_dictionary(spark, given.dictionary), load_parameters(spark, given.parameters),
-        given.as_of, not given.full_trips,
+        given.as_of, not given.full_trips, given.database,
     )
 
 

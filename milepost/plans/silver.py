@@ -11,7 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milepost.constants import SAFETY_COUNTERS, TRIP_TIME_FORMATS
-from milepost.functions.cleaning import fill_missing_text, null_missing_text, trim_strings
+from milepost.functions.cleaning import (
+    fill_missing_text,
+    known_as_written,
+    null_missing_text,
+    squeeze,
+    trim_strings,
+)
 from milepost.functions.parsing import (
     as_date,
     file_date,
@@ -50,16 +56,26 @@ def source_date(style: str, fallback: Column | None = None) -> Column:
 
 
 def _project(df: DataFrame, normalise, parse: dict, date: Column) -> DataFrame:
-    """Normalise all text columns, parse those with a parser, add the source date."""
+    """Normalise the text columns, parse those with a parser, add the source date.
+
+    A parser reads the raw text: it tests the shape of the whole text anyway, and with the
+    text rules in front of every number the code of a wide feed outgrows what compiles.
+    """
     names = [c for c in df.columns if c != SOURCE_FILE]
     columns = [(parse[c](F.col(c)) if c in parse else F.col(c)).alias(c) for c in names]
-    return normalise(df, names).select(*columns, SOURCE_FILE, date.alias(PARTITION))
+    plain = [c for c in names if c not in parse]
+    return normalise(df, plain).select(*columns, SOURCE_FILE, date.alias(PARTITION))
 
 
 def _parsers(parser, *names: str) -> dict:
     return dict.fromkeys(names, parser)
 
 
+def _a_number(text: Column) -> Column:
+    """``nan`` is one of the words for a missing value."""
+    return F.when(~text.rlike(r"^\s*(?i:nan)\s*$"), text)
+
+
 def clean_groups(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return _project(
         bronze, fill_missing_text, _parsers(to_long, "group_id", "parent_group_id", "client_id"),
@@ -91,9 +107,9 @@ def clean_drivers(bronze: DataFrame) -> DataFrame:
 def clean_events(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     parse = {
         **_parsers(to_long, "event_id", "vehicle_id", "scheme_id", "drive_id"),
-        **_parsers(plain_double, *EVENT_DOUBLES),
-        **_parsers(to_double, "start_mileage", "end_mileage"),
-        **_parsers(parse_time, "start_time", "end_time"),
+        **_parsers(lambda c: plain_double(known_as_written(F.trim(c))), *EVENT_DOUBLES),
+        **_parsers(lambda c: to_double(known_as_written(F.trim(c))), "start_mileage", "end_mileage"),
+        **_parsers(lambda c: parse_time(F.trim(c)), "start_time", "end_time"),
     }
     return _project(bronze, trim_strings, parse, source_date("loose", as_date(as_of)))
 
@@ -101,8 +117,8 @@ def clean_events(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
 def clean_trips(bronze: DataFrame) -> DataFrame:
     parse = {
         **_parsers(to_long, "drive_id", "vehicle_id", "driver_id"),
-        **_parsers(lambda c: parse_time(c, TRIP_TIME_FORMATS), "start_drive", "end_drive"),
-        **_parsers(to_double, *TRIP_DOUBLES),
+        **_parsers(lambda c: parse_time(squeeze(c), TRIP_TIME_FORMATS), "start_drive", "end_drive"),
+        **_parsers(lambda c: to_double(_a_number(c)), *TRIP_DOUBLES),
         **_parsers(to_truncated_long, *SAFETY_COUNTERS),
     }
     return _project(bronze, null_missing_text, parse, source_date("loose"))

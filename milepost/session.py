@@ -48,9 +48,10 @@ def build_session(app_name: str = "milepost", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """A fresh place below ``spark.checkpoint.dir``, which every executor can reach.
 
-    A machine-local folder is used only by a local session that names none.
+    It is deleted when the driver ends: results that are computed later may read it until
+    then. A machine-local folder is used only by a local session that names none.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
@@ -58,7 +59,12 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="milepost-")
         spark.conf.set(CHECKPOINT_DIR, root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    parent = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    store.deleteOnExit(folder)
+    return f"{parent}/data"
 
 
 def write_once(df: DataFrame, purpose: str) -> DataFrame:

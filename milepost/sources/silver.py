@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,8 +60,13 @@ def existing_keys(spark: SparkSession, path: str, key: str) -> DataFrame | None:
     return None if stored is None else stored.select(key).filter(F.col(key).isNotNull())
 
 
+def keyless_path(path: str) -> str:
+    """Where the rows without a key of an appended table are kept, beside those with one."""
+    return f"{path.rstrip('/')}_keyless"
+
+
 def unseen_rows(df: DataFrame, stored_keys: DataFrame | None, key: str) -> DataFrame:
-    """Rows of ``df`` with a key that is not stored; rows without a key are left out."""
+    """Rows of ``df`` with a key that is not stored; rows without a key cannot be told apart."""
     keyed = df.filter(F.col(key).isNotNull())
     return keyed if stored_keys is None else keyed.join(stored_keys, key, "left_anti")
 
@@ -73,13 +80,34 @@ def append_unseen(
     )
 
 
-def register_table(
-    spark: SparkSession, name: str, df: DataFrame, path: str, partition: str = PARTITION
+def load_keyed(
+    spark: SparkSession, df: DataFrame, path: str, key: str, partition: str = PARTITION
 ) -> None:
-    """Catalog table over the Parquet at ``path``, with all its dates discovered."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY (`{partition}`) LOCATION '{path}'"
-    )
-    spark.catalog.recoverPartitions(name)
+    """Load all rows of a feed: new keys are appended, rows without a key replaced.
+
+    No key tells whether such a row is stored already, so all of them are written anew from
+    the feed on each load, as a table of their own. ``read_keyed`` reads both.
+    """
+    append_unseen(spark, df, path, key, partition)
+    write_snapshot(df.filter(F.col(key).isNull()), keyless_path(path), partition)
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows with and without key of a table written by ``load_keyed``."""
+    parts = [t for t in (read_table(spark, path), read_table(spark, keyless_path(path))) if t is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def register_table(spark: SparkSession, name: str, path: str) -> None:
+    """Catalog table over the Parquet at ``path``, with all its partitions discovered.
+
+    The table is external: registering anew follows a changed schema and drops no file.
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    stored = spark.read.parquet(path)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)
+    dated = PARTITION in stored.columns and any(f"/{PARTITION}=" in f for f in stored.inputFiles()[:1])
+    by = f"PARTITIONED BY (`{PARTITION}`)" if dated else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION '{path}'")
+    if dated:
+        spark.catalog.recoverPartitions(name)

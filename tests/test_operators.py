@@ -104,6 +104,22 @@ def test_join_contains_equals_nested_loop(spark, texts, fragments):
     assert rows(found) == expected
 
 
+LONG_WORDS = st.lists(st.text(alphabet="ab", min_size=7, max_size=14), max_size=8)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=LONG_WORDS, fragments=LONG_WORDS)
+def test_join_contains_beyond_the_seed(spark, texts, fragments):
+    """Fragments longer than the seed, cut out of the texts and free ones."""
+    fragments = fragments + [t[1:11] for t in texts]
+    left = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    right = spark.createDataFrame(list(enumerate(fragments)), "j int, fragment string")
+    expected = sorted(
+        ((i, j) for i, t in enumerate(texts) for j, f in enumerate(fragments) if f and f in t),
+        key=repr)
+    assert rows(join_contains(left, "text", right, "fragment").select("i", "j")) == expected
+
+
 def test_unpivot_keeps_the_total(spark):
     df = spark.createDataFrame(
         [(1, 2, 0, None, 4.5, 1)],

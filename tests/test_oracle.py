@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from milepost.checks import oracle as registered_sql
+from milepost.checks import queries as registered
 from milepost.checks.compare import difference, oracle_connection
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registered.queries()
+ORACLE = registered_sql.oracle_sql()
 
 # queries whose keys the skewed tables below make hot
 SKEWED = [
@@ -22,7 +24,9 @@ def oracle(small):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
-    assert len(QUERIES) == 73
+    assert len(QUERIES) == 76
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLE.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):

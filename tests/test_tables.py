@@ -1,15 +1,17 @@
 """Silver tables, incremental loads, streams, the catalog and the whole pipeline."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from milepost.operators.conform import conform_events, conform_trips
 from milepost.operators.dedup import latest_per_key
 from milepost.operators.quality import QualityError
 from milepost.plans import silver as S
 from milepost.plans.marts import MARTS, VIEWS, create_views, store_rollups
-from milepost.plans.pipeline import load_silver, run_pipeline
+from milepost.plans.pipeline import input_bytes, load_silver, run_pipeline
 from milepost.schemas import BRONZE, WAREHOUSE
 from milepost.session import shared_dir, write_once
 from milepost.sources import feeds
@@ -71,7 +73,7 @@ def test_register_table_finds_its_dates(spark, tmp_path):
     path = str(tmp_path / "t")
     df = dated(spark, [(1, "a", "2026-01-01"), (2, "a", "2026-01-02")])
     write_partitions(df, path)
-    register_table(spark, "registered_trips", df, path)
+    register_table(spark, "registered_trips", path)
     try:
         assert spark.table("registered_trips").count() == 2
         assert spark.sql("SHOW PARTITIONS registered_trips").count() == 2
@@ -214,18 +216,50 @@ def bronze(spark, small, tmp_path_factory):
 def test_pipeline(spark, small, bronze, tmp_path):
     out = str(tmp_path)
     dictionary, parameters = T.dictionary(spark), T.parameters(spark, small)
-    paths = run_pipeline(spark, bronze, out, dictionary, parameters, AS_OF)
+    paths = run_pipeline(spark, bronze, out, dictionary, parameters, AS_OF, database="fleet_test")
     assert len(paths) == 12
     counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
     trips = spark.read.parquet(f"{out}/warehouse/t_trips")
     assert trips.schema.names == WAREHOUSE["t_trips"].names
-    assert trips.filter("drive_id IS NULL").count() == 0
-    assert counts["mv_group_main_driver"] >= 0
-    before = trips.count()
-    load_silver(spark, bronze, out, AS_OF)  # a repeated run brings no new trips
-    assert spark.read.parquet(f"{out}/silver/trips").count() == before
-    full = load_silver(spark, bronze, str(tmp_path / "full"), AS_OF, incremental_trips=False)
-    assert full["trips"].filter("drive_id IS NULL").count() > 0
+    assert trips.filter("drive_id IS NULL").count() > 0
+    assert all(spark.table(f"fleet_test.{name}").count() == n for name, n in counts.items())
+    assert spark.table("fleet_test.t_trips").count() == trips.count()
+    assert spark.table("v_driver_keymap").count() > 0
+    silver = load_silver(spark, bronze, out, AS_OF)  # a repeated run brings no new trips
+    assert silver["trips"].count() == trips.count()
+    full_out = str(tmp_path / "full")
+    full_paths = run_pipeline(spark, bronze, full_out, dictionary, parameters, AS_OF, incremental_trips=False)
+    for name in ("mv_fleet_safety_monthly", "mv_economy_offenders", "mv_group_safety_base"):
+        assert counts[name] > 0
+        assert rows(spark.read.parquet(paths[name])) == rows(spark.read.parquet(full_paths[name])), name
+    spark.sql("DROP DATABASE fleet_test CASCADE")
+
+
+def test_events_of_dates_gone_from_bronze_stay(spark, bronze, tmp_path):
+    out = str(tmp_path)
+    load_silver(spark, bronze, out, AS_OF)
+    stored = read_table(spark, f"{out}/silver/events")
+    old = stored.limit(1).withColumn(PARTITION, F.lit(dt.date(1980, 1, 1)))
+    write_partitions(write_once(old, "old-event"), f"{out}/silver/events")
+    again = load_silver(spark, bronze, out, AS_OF)["events"]
+    assert again.filter(F.col(PARTITION) == F.lit(dt.date(1980, 1, 1))).count() == 1
+
+
+def test_input_bytes(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.csv").write_text("12345")
+    (tmp_path / "y.csv").write_text("123")
+    assert input_bytes(spark, str(tmp_path)) == 8
+
+
+def test_cleaning_compiles(spark, small, tmp_path):
+    """Cleaned and conformed trips and events run as generated code."""
+    for name, clean, shape in (("trips", S.clean_trips, conform_trips), ("events", S.clean_events, conform_events)):
+        df = shape(clean(feeds.feed(spark, small, name)))
+        stages = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+        text = stages.codegenString(df._jdf.queryExecution().executedPlan())
+        sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(-?\d+)", text)]
+        assert sizes and min(sizes) >= 0, (name, sizes)
 
 
 def test_reference_tables(spark, tmp_path):
