@@ -71,3 +71,19 @@ def test_facts_shrink_before_dimensions_join(fleet):
     text = plan(MARTS["mv_group_safety_base"](fleet, AS_OF))
     join = text.index("LeftOuter")
     assert text.index("partial_sum", join) > join
+
+
+@pytest.mark.parametrize("name", ["mv_driver_errors", "mv_pedal_events", "mv_safety_offenders"])
+def test_labels_do_not_travel_with_the_facts(fleet, name):
+    """Only ids and months cross the shuffle by drive id."""
+    conf = fleet.trips.sparkSession.conf
+    conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(MARTS[name](fleet, AS_OF), "formatted")
+    finally:
+        conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning\((\w+)#", text)
+    by_drive = [columns for columns, key in exchanges if key in ("drive_id", "l_orderkey", "o_orderkey")]
+    assert by_drive
+    for columns in by_drive:
+        assert not re.search("ofensor|categoria|acao|parametro|description", columns), columns
