@@ -54,7 +54,7 @@ class Run:
     """Units of the texts of one run of bytes."""
 
     def __init__(self, shape: Shape, data: np.ndarray, offsets: np.ndarray):
-        self.shape, self.data, self.offsets = shape, data, offsets
+        self.shape, self.data, self.offsets, self.owner = shape, data, offsets, None
         if shape.kind == "word":
             self.starts, self.ends, self.bounds = words(data, offsets)
             self.values = word_hashes(data, self.starts, self.ends)
@@ -77,7 +77,9 @@ class Run:
 
     def local(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Text of each unit and its place in that text."""
-        text = np.searchsorted(self.bounds, places, "right") - 1
+        if self.owner is None:
+            self.owner = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+        text = self.owner[places]
         return text, places - self.bounds[text]
 
     def digests(self, kept: np.ndarray) -> list[str]:

@@ -33,8 +33,8 @@ from milepost.llm.arrays import U64, large_binary, ranges, sliding, text_runs, w
 from milepost.operators.windows import write_once
 
 LENGTH, SEED = 100, 16
-HOT, MOST_HOT = 1024, 1 << 20
-CHUNK_BYTES = 1 << 20
+HOT, MOST_HOT = 16_384, 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def _least_places(table: pa.Table) -> pa.Table:
@@ -72,28 +72,43 @@ def _segments(shape: Shape, hot: np.ndarray):
     return run
 
 
-def _ranked(keys: np.ndarray) -> np.ndarray:
-    """Dense rank of each key."""
+def _refined(rank: np.ndarray, among: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Ranks after the suffixes ``among``, which share their ranks, are told apart by ``keys``.
+
+    A rank is the number of lesser suffixes, so a group that splits leaves all others alone.
+    """
     order = np.argsort(keys)
-    rank = np.empty(len(keys), U64)
-    rank[order] = np.cumsum(np.concatenate(([0], np.diff(keys[order]) != 0)))
-    return rank
+    among, keys = among[order], keys[order]
+    old = rank[among]
+    group = np.flatnonzero(np.concatenate(([True], old[1:] != old[:-1])))
+    part = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    sizes = np.diff(np.concatenate((part, [len(keys)])))
+    start = group[np.searchsorted(group, part, "right") - 1]
+    out = rank.copy()
+    out[among] = np.repeat(old[part] + (part - start).astype(U64), sizes)
+    return out
 
 
 def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Rank of the ``length`` bytes at each start among all starts, by prefix doubling."""
+    """Rank of the ``length`` bytes at each start among all starts, by prefix doubling.
+
+    Suffixes that are told apart already take no part in later rounds.
+    """
+    size = len(data)
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)[: len(data)]
-    have, rank = min(8, length), _ranked(np.ascontiguousarray(words).view(">u8").ravel().astype(U64) >> U64(64 - 8 * min(8, length)))
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8)[:size]
+    have = min(8, length)
+    first = np.ascontiguousarray(words).view(">u8").ravel().astype(U64) >> U64(64 - 8 * have)
+    rank = _refined(np.zeros(size, U64), np.arange(size), first)
     while have < length:
         step = min(have, length - have)
-        where = starts if have + step == length else np.arange(len(data))
-        after = np.minimum(where + step, len(data) - 1)
-        rank = _ranked((rank[where] << U64(32)) | rank[after])
+        among = np.flatnonzero(np.bincount(rank.astype(np.int64), minlength=size)[rank.astype(np.int64)] > 1)
+        if not len(among):
+            break
+        after = rank[np.minimum(among + step, size - 1)]
+        rank = _refined(rank, among, (rank[among] << U64(32)) | after)
         have += step
-        if have == length:
-            return rank
-    return _ranked(rank[starts])
+    return rank[starts]
 
 
 def first_windows(table: pa.Table, length: int) -> pa.Table:
