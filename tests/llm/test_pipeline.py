@@ -23,7 +23,7 @@ def test_pipeline_keeps_what_its_stages_keep(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     kept = corpus_pipeline.keep_languages(spark, docs, SMALL)
     judged = language.identify_languages(docs, language.learn_languages(docs)).collect()
-    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in judged if r.lang_pred != "und" and r.score >= 0.5}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in judged if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_SCORE}
     alone = corpus_pipeline.drop_near_duplicates(spark, kept, SMALL)
     classes = ngram_join.similar_classes(kept).collect()
     assert {r.doc_id for r in alone.collect()} == {r.class_id for r in classes}
