@@ -3,8 +3,8 @@
 Each stage reads what the one before it has written, as Parquet in the shared folder. All but
 the last return the columns of ``documents``.
 
-- language: rejects documents without a letter, and those whose main language has less than
-  half of the text. Everything else stays.
+- language: rejects documents without a letter, and those of whose text no language explains
+  a quarter. Everything else stays, documents in several languages among it.
 - near_duplicates: one document of each class of n-gram Jaccard links stays, the least doc_id.
 - privacy: personal data and secrets become surrogates; no document goes.
 - mixture: documents stay, go or repeat as their source's target asks.
@@ -23,7 +23,7 @@ from milepost.llm import bpe, language, mixing, ngram_join, surrogates
 from milepost.llm.queries import SURROGATE_KEY, VOCABULARY
 from milepost.llm.tables import store_texts, table, with_clear_names
 
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.25
 
 # SQL cannot express the first stage.
 ORACLE_SQL = None
