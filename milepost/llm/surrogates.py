@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from milepost.operators.windows import write_once
 
 ROUNDS = 8
+PATIENCE = 6
 
 # Kinds of entities in order of precedence. The group ``v`` is what gets
 # replaced; without it, the whole match.
@@ -123,7 +124,19 @@ class Surrogates:
         return "".join(out)
 
     def replace(self, kind: str, value: str, attempt: int = 0) -> str:
-        """Surrogate of an entity; the attempt number changes the permutation."""
+        """Surrogate of an entity; the attempt number changes the permutation.
+
+        A format with few or no values besides the entity's own cannot keep all entities
+        distinct. From attempt ``PATIENCE`` on the surrogate grows by a character each time.
+        """
+        drawn = self._draw(kind, value, attempt)
+        more = "".join(
+            CLASSES[(2 - i % 2) if kind in ("female", "male", "email") else 0][self._number(f"{kind}|{value.lower()}|{attempt}", i, 0, 5)]
+            for i in range(attempt - PATIENCE + 1)
+        )
+        return more + drawn if kind == "email" else drawn + more
+
+    def _draw(self, kind: str, value: str, attempt: int) -> str:
         tweak = f"{kind}|{attempt}"
         if kind in ("female", "male"):
             return self._person(kind, value, tweak)

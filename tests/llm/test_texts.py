@@ -403,6 +403,14 @@ def test_surrogates_draw_again_on_collision(spark, monkeypatch):
     assert all(r.n_entities == 1 for r in rows)
 
 
+def test_surrogates_grow_where_a_format_is_used_up(spark):
+    """More names of two vowels than there are, and names that no class can change."""
+    names = [a.upper() + b for a in "aeiouy" for b in "aeiouy"] + ["Þð", "Ðþ"]
+    docs = spark.createDataFrame([(i, f"Frau {n} kommt") for i, n in enumerate(names)], "doc_id long, text string")
+    made = [r.text.split()[1].lower() for r in surrogates.replace_private(docs, b"k").collect()]
+    assert len(set(made)) == len(names) and not set(made) & {n.lower() for n in names}
+
+
 def test_surrogates_odd_rows(odd_documents, no_documents):
     rows = surrogates.replace_private(odd_documents, b"k").collect()
     assert Counter((r.doc_id, r.text) for r in rows) == Counter((r.doc_id, r.text) for r in odd_documents.collect())
