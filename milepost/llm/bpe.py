@@ -35,8 +35,8 @@ from milepost.llm.arrays import text_runs
 # fixed value: the pattern by which byte-level BPE cuts a text into words
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = 1 << 60
-CACHED_WORDS = 300_000
-TRIE_BYTES = 4 << 20
+CACHED_WORDS, CACHED_PAIRS, CACHED_EDGES = 200_000, 300_000, 30_000
+TRIE_BYTES = 2 << 20
 
 
 def _bytes_by_character() -> dict[str, int]:
@@ -96,6 +96,8 @@ class Pairs:
         """What stands at one edge of a token while it is built, and until which rank."""
         key = (token, right)
         if key not in self.edges:
+            if len(self.edges) > CACHED_EDGES:
+                self.edges.clear()
             steps, until = [], NEVER
             while True:
                 steps.append((token, until))
@@ -163,7 +165,7 @@ class Encoder:
         """Token ids of each word."""
         out, tokens, lengths, before = {}, [-1], [0], b""
         token_of, sizes, known, compatible = self.ids.get, self.sizes, self.known, self.pairs.compatible
-        if len(known) > 4 * CACHED_WORDS:
+        if len(known) > CACHED_PAIRS:
             known.clear()
         for word in sorted(words):
             shared, most = 0, min(len(word), len(before))
@@ -217,7 +219,6 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
         encoder, find = Encoder(**plain), regex.compile(WORDS).findall
         specials = re.compile("|".join(map(re.escape, sorted(plain["added"], key=len, reverse=True)))) if plain["added"] else None
         known: dict[str, bytes] = {}  # ids of a word as packed 32-bit numbers
-        back: dict[str, bytes] = {}
 
         def words_of(value: str) -> list[str]:
             if specials is None or not specials.search(value):
@@ -234,15 +235,14 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") ->
                 cut = [words_of(v or "") for v in column.slice(first, last - first).to_pylist()]
                 if len(known) > CACHED_WORDS:
                     known.clear()
-                    back.clear()
                 for t, i in plain["added"].items():
-                    known[t], back[t] = struct.pack("<i", i), token_bytes[i]
+                    known[t] = struct.pack("<i", i)
                 new = {w.encode(): w for w in set(chain.from_iterable(cut)).difference(known)}
                 for word, tokens in encoder.encode(list(new)).items():
                     known[new[word]] = struct.pack(f"<{len(tokens)}i", *tokens)
-                    back[new[word]] = b"".join([token_bytes[t] for t in tokens])
                 ids = [b"".join(map(known.__getitem__, found)) for found in cut]
-                decoded = [b"".join(map(back.__getitem__, found)).decode("utf-8", "replace") for found in cut]
+                del cut
+                decoded = [b"".join(map(token_bytes.__getitem__, np.frombuffer(row, "<i4").tolist())).decode("utf-8", "replace") for row in ids]
                 ends = np.cumsum([0, *(len(row) // 4 for row in ids)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
                 kept = [c.slice(first, last - first) for c in batch.columns[: len(keep)]]

@@ -15,6 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand whole texts to Python in batches of at most ``BATCH_ROWS`` rows from now on.
+
+    Spark's default of 10,000 rows suits narrow rows; with texts of several kilobytes such a
+    batch holds tens of megabytes on both sides. A smaller setting stays as it is.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def store_texts(df: DataFrame, purpose: str) -> DataFrame:
     """Like ``write_once``, compressed harder: for tables that hold whole texts."""
     path = shared_dir(df.sparkSession, purpose)
