@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from milepost.llm import bpe, language, mixing, ngram_join, surrogates
 from milepost.llm.queries import SURROGATE_KEY, VOCABULARY
-from milepost.llm.tables import store_texts, table, with_clear_names
+from milepost.llm.tables import small_batches, store_texts, table, with_clear_names
 
 LEAST_SCORE = 0.25
 
@@ -30,6 +30,8 @@ ORACLE_SQL = None
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+
     def work(rows: DataFrame) -> DataFrame:
         found = language.identify_languages(rows, language.learn_languages(rows))
         known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
@@ -39,10 +41,13 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return with_clear_names(docs, ("class_id", "n_links"), ngram_join.keep_one_of_each)
 
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+
     def work(rows: DataFrame) -> DataFrame:
         done = surrogates.replace_private(rows, SURROGATE_KEY)
         if "n_chars" in rows.columns:
@@ -57,6 +62,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     done = bpe.encode_texts(docs.select("doc_id", "source", "text"), bpe.Vocabulary(VOCABULARY))
     return done.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
