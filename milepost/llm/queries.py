@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.llm import bitsliced, bpe, language, mixing, ngram_join, repeats, suffixes, surrogates, toxicity, vptree
-from milepost.llm.tables import table
+from milepost.llm.tables import small_batches, table
 
 
 def _remainder(modulus: int) -> Column:
@@ -45,6 +45,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def op6_trie_bpe(spark: SparkSession, sf_dir: str, path: str = VOCABULARY) -> DataFrame:
+    small_batches(spark)
     done = bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), bpe.Vocabulary(path))
     return done.select(
         "doc_id",
@@ -55,6 +56,7 @@ def op6_trie_bpe(spark: SparkSession, sf_dir: str, path: str = VOCABULARY) -> Da
 
 
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = repeats.repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.col("size").alias("n_words"), F.col("removed").alias("n_removed"), "kept_sha256")
 
@@ -73,6 +75,7 @@ def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     found = suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
     spans = F.size("spans").cast("long").alias("n_spans")
     return found.select("doc_id", F.col("size").alias("n_bytes"), F.col("removed").alias("n_removed"), spans, "kept_sha256")
