@@ -57,7 +57,19 @@ GIVEN = {
 # Classes of letters that replace each other.
 CLASSES = ["0123456789", "aeiouy", "bcdfghjklmnpqrstvwxz", "àâäáãåæéèêëíìîïóòôöõøúùûü", "çñß", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ"]
 HEX = "0123456789abcdef"
-CANDIDATE = r"@|\d(?:\D?\d){6}|(?i:token|secret|passw|key)|[0-9a-fA-F]{32}|(?:Mrs|Ms|Mr|Miss|Frau|Herr|Mme|Madame|Monsieur|Sra|Sr|Señora|Señor|Don|Doña|г-жа|г-н|госпожа|господин)\.? "
+# Fixed value: a digit as any version of Unicode counts it, unassigned characters among them.
+DIGIT = r"[\p{Nd}\p{Cn}]"
+# Fixed value: what a text with an entity holds, by kinds; every match of PATTERNS passes.
+CANDIDATE = "|".join([
+    r"(?iu:token|secret|passw|key)",
+    r"[0-9a-fA-F]{32}",
+    r"@",
+    rf"{DIGIT}\.{DIGIT}{{1,3}}\.{DIGIT}{{1,3}}\.{DIGIT}",  # ip
+    rf"[A-Z]{{2}}{DIGIT}{{2}}",  # iban
+    rf"\+{DIGIT}",  # phone with a country code
+    rf"{DIGIT}(?:[ .\-]?{DIGIT}){{6}}",  # other phones, ssn, card
+    r"(?:Mrs|Ms|Mr|Miss|Frau|Herr|Mme|Madame|Monsieur|Sra|Sr|Señora|Señor|Don|Doña|г-жа|г-н|госпожа|господин)\.? ",
+])
 
 
 class Surrogates:
@@ -66,6 +78,7 @@ class Surrogates:
     def __init__(self, key: bytes):
         self.key = key
         self.pattern = re.compile("|".join(f"(?P<{kind}>{self._own(kind, p)})" for kind, p in PATTERNS.items()))
+        self.iban = re.compile(PATTERNS["iban"])
 
     @staticmethod
     def _own(kind: str, pattern: str) -> str:
@@ -73,15 +86,28 @@ class Surrogates:
 
     def find(self, text: str) -> Iterator[tuple[int, int, str, str]]:
         """Start, end, kind and spelling of each entity; of persons also gender."""
-        for m in self.pattern.finditer(text):
+        at = 0
+        while m := self.pattern.search(text, at):
             kind = m.lastgroup if m.lastgroup in PATTERNS else next(k for k in PATTERNS if m.group(k) is not None)
             part = f"{kind}_v" if f"{kind}_v" in m.re.groupindex else kind
-            value = m.group(part)
-            if kind == "iban" and not _iban_holds(value):
-                continue
+            start, end = m.span(part)
+            at = m.end()
+            if kind == "iban":
+                end = self._iban_end(text, start, end)
+                at = end or start + 1
+                if not end:
+                    continue
             if kind == "person":
                 kind = "female" if m.group("female") else "male"
-            yield m.start(part), m.end(part), kind, value
+            yield start, end, kind, text[start:end]
+
+    def _iban_end(self, text: str, start: int, end: int) -> int:
+        """End of the longest number with a right check; words that follow may look like its groups."""
+        while end > start:
+            if self.iban.fullmatch(text, start, end) and _iban_holds(text[start:end]):
+                return end
+            end = text.rfind(" ", start, end)
+        return 0
 
     def _number(self, tweak: str, round_: int, value: int, size: int) -> int:
         digest = blake2b(f"{tweak}|{round_}|{value}".encode(), key=self.key[:64], digest_size=32).digest()

@@ -1,6 +1,7 @@
 """Operators on documents, against brute force on small tables and on odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -415,3 +416,58 @@ def test_surrogates_odd_rows(odd_documents, no_documents):
     rows = surrogates.replace_private(odd_documents, b"k").collect()
     assert Counter((r.doc_id, r.text) for r in rows) == Counter((r.doc_id, r.text) for r in odd_documents.collect())
     assert surrogates.replace_private(no_documents, b"k").count() == 0
+
+
+def _matching(tree, draw):
+    """A string after a parsed pattern; what stands around it is left out."""
+    out = ""
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            kind, value = draw.choice(arg)
+            one = {"LITERAL": lambda: chr(value), "RANGE": lambda: chr(draw.randint(*value)), "CATEGORY": lambda: draw.choice("0123456789٣")}
+            out += one[str(kind)]()
+        elif name == "MAX_REPEAT":
+            low, high, inner = arg
+            out += "".join(_matching(inner, draw) for _ in range(draw.randint(low, min(high, low + 2))))
+        elif name == "SUBPATTERN":
+            out += _matching(arg[3], draw)
+        elif name == "BRANCH":
+            out += _matching(draw.choice(arg[1]), draw)
+    return out
+
+
+def test_every_match_passes_the_filter(spark):
+    maker, draw, found = surrogates.Surrogates(b"k"), random.Random(7), set()
+    for kind, pattern in surrogates.PATTERNS.items():
+        made = {_matching(re._parser.parse(pattern), draw) for _ in range(600)}
+        held = {t for t in made if re.search(pattern, t)}
+        assert len(held) > 40, kind
+        found |= held
+    found |= {"host 10.0.0.1 answered", "8.8.8.8", "127.0.0.1", "10.1.2.30", "+49 (30) 123 456", "+44 (20) 79 46 09", "api \u212aey: abcdefabcdef"}
+    docs = spark.createDataFrame([(t,) for t in sorted(found)], "text string")
+    assert docs.where(~F.col("text").rlike(surrogates.CANDIDATE)).collect() == []
+    assert all(any(True for _ in maker.find(t)) for t in ("8.8.8.8", "+44 (20) 79 46 09"))
+
+
+def test_short_addresses_and_numbers_are_replaced(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["host 10.0.0.1 answered", "call +49 (30) 123 456", "host 10.0.0.1, mail a@b.org"])], "doc_id long, text string")
+    rows = {r.doc_id: r for r in surrogates.replace_private(docs, b"k").collect()}
+    assert [rows[i].n_entities for i in range(3)] == [1, 1, 2]
+    assert "10.0.0.1" not in rows[0].text and "123 456" not in rows[1].text
+    assert rows[0].text.split()[1] == rows[2].text.split()[1].rstrip(",")
+
+
+def test_words_after_an_iban():
+    maker = surrogates.Surrogates(b"k")
+
+    def found(text):
+        return [(k, v) for _, _, k, v in maker.find(text)]
+
+    iban = "ES91 2100 0418 4502 0005 1332"
+    assert found(f"{iban} BIC CAIX") == found(iban) == [("iban", iban)]
+    assert found(f"AB12 {iban}") == [("iban", iban)]
+    assert found("AB12 4111 1111 1111 1111") == [("card", "4111 1111 1111 1111")]
+    assert found("DE88370400440532013000") == []
