@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTITION = "p_source_date"
+BATCH = "_batch"
 
 
 def write_partitions(
@@ -65,6 +66,11 @@ def keyless_path(path: str) -> str:
     return f"{path.rstrip('/')}_keyless"
 
 
+def streamed_path(path: str) -> str:
+    """Where a stream keeps the rows without a key, by the batch that brought them."""
+    return f"{path.rstrip('/')}_keyless_batches"
+
+
 def unseen_rows(df: DataFrame, stored_keys: DataFrame | None, key: str) -> DataFrame:
     """Rows of ``df`` with a key that is not stored; rows without a key cannot be told apart."""
     keyed = df.filter(F.col(key).isNotNull())
@@ -93,9 +99,10 @@ def load_keyed(
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
-    """Rows with and without key of a table written by ``load_keyed``."""
-    parts = [t for t in (read_table(spark, path), read_table(spark, keyless_path(path))) if t is not None]
-    return reduce(DataFrame.unionByName, parts) if parts else None
+    """Rows with and without key of a table written by ``load_keyed`` or ``ingest_unseen``."""
+    parts = [read_table(spark, p) for p in (path, keyless_path(path), streamed_path(path))]
+    stored = [t.drop(BATCH) for t in parts if t is not None]
+    return reduce(DataFrame.unionByName, stored) if stored else None
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> None:

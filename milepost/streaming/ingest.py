@@ -14,9 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from milepost.sources.bronze import with_source_file
-from milepost.sources.silver import append_unseen
-
-BATCH = "_batch"
+from milepost.sources.silver import BATCH, append_unseen, streamed_path
 
 
 def stream_bronze(
@@ -48,14 +46,7 @@ def ingest(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        (
-            clean(batch)
-            .withColumn(BATCH, F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH)
-            .parquet(cleaned_path)
-        )
+        _write_batch(clean(batch), batch_id, cleaned_path)
 
     return _run(source, store, checkpoint)
 
@@ -69,15 +60,29 @@ def ingest_unseen(
 ) -> StreamingQuery:
     """Append rows with unseen keys of every newly arrived file, first come first kept.
 
-    ``clean`` has to leave one row per key. A replayed batch finds its keys stored.
+    ``clean`` has to leave one row per key. A replayed batch finds its keys stored. Rows
+    without a key are all kept, in a partition that their batch owns and replaces when it is
+    replayed; ``read_keyed`` reads both. A table belongs to one checkpoint.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        append_unseen(batch.sparkSession, clean(batch), silver_path, key)
+        rows = clean(batch)
+        append_unseen(batch.sparkSession, rows, silver_path, key)
+        _write_batch(rows.filter(F.col(key).isNull()), batch_id, streamed_path(silver_path))
 
     return _run(source, store, checkpoint)
 
 
+def _write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    (
+        rows.withColumn(BATCH, F.lit(batch_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BATCH)
+        .parquet(path)
+    )
+
+
 def _run(source: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     query = (
         source.writeStream.foreachBatch(store)

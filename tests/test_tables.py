@@ -22,6 +22,7 @@ from milepost.sources.silver import (
     PARTITION,
     append_unseen,
     existing_keys,
+    read_keyed,
     read_table,
     register_table,
     write_partitions,
@@ -165,6 +166,25 @@ def test_stream_of_unseen_trips(spark, small, tmp_path):
     assert rows(found.select(*expected.columns)) == rows(expected)
 
 
+def test_stream_of_trips_without_drive_id_equals_batch(spark, small, tmp_path):
+    """Two portions with rows without a key, the last batch of them played twice."""
+    landing, silver = str(tmp_path / "in"), str(tmp_path / "silver")
+    feed = feeds.feed(spark, small, "trips").limit(400)
+    keyed = F.when(F.crc32("drive_id") % 5 > 0, F.col("drive_id"))
+    ids = feed.withColumn("part", F.crc32("drive_id") % 2).withColumn("drive_id", keyed).localCheckpoint()
+    for part in (0, 1):
+        feeds.write_csv_feed(ids.filter(F.col("part") == part).drop("part"), landing)
+        source = stream_bronze(spark, landing, BRONZE["trips"])
+        clean = lambda b: S.silver_trips(b).drop(SOURCE_FILE)
+        ingest_unseen(source, clean, silver, "drive_id", str(tmp_path / "progress"))
+    (tmp_path / "progress" / "commits" / "1").unlink()
+    (tmp_path / "progress" / "commits" / ".1.crc").unlink(missing_ok=True)
+    ingest_unseen(source, clean, silver, "drive_id", str(tmp_path / "progress"))
+    batch = S.silver_trips(read_bronze(spark, landing, BRONZE["trips"])).drop(SOURCE_FILE)
+    assert batch.filter("drive_id IS NULL").count() > 20
+    assert rows(read_keyed(spark, silver).select(*batch.columns)) == rows(batch)
+
+
 @pytest.mark.parametrize("name", MARTS)
 def test_marts_from_stored_rollups(spark, fleet, stored_fleet, name):
     direct, shared = MARTS[name](fleet, AS_OF), MARTS[name](stored_fleet, AS_OF)
