@@ -7,10 +7,17 @@ vowels, consonants, hexadecimal digits) over the entity's own length. Equal enti
 equal surrogates in all documents, in any letter case. A given name becomes another one of
 its gender and script.
 
+Persons are found after a title. Each part of a name, given name or surname, has a surrogate
+of its own, so that ``Mrs. Anna Miller`` and ``Mrs. Miller`` stay related. Parts that a titled
+mention establishes are replaced in the rest of that document without a title too, capitalised
+or in capitals. Of a name of several words the first is the given name; a single word is a
+surname unless the document has it as a given name of that gender.
+
 A permutation cannot make two entities equal, but names drawn from lists can, and a surrogate
 can hit an entity that really occurs. So all distinct entities are listed first, by a Spark
-aggregation, and a surrogate that another entity has already, that occurs as an entity, or
-that changes nothing is drawn again with the next attempt number, until none is left. Only
+aggregation, and a surrogate that another entity has already, that occurs as an entity (given
+names aside, which the surname tells apart), or that changes nothing is drawn again with the
+next attempt number, until none is left. Only
 attempts beyond the first have to travel to the documents that hold those entities.
 
 Defined results: null stays null, a text without entities stays as it is. Overlapping matches
@@ -57,6 +64,8 @@ GIVEN = {
 # Classes of letters that replace each other.
 CLASSES = ["0123456789", "aeiouy", "bcdfghjklmnpqrstvwxz", "àâäáãåæéèêëíìîïóòôöõøúùûü", "çñß", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ"]
 HEX = "0123456789abcdef"
+# Fixed value: kinds of name parts.
+NAMES = ("given-female", "given-male", "surname")
 # Fixed value: a digit as any version of Unicode counts it, unassigned characters among them.
 DIGIT = r"[\p{Nd}\p{Cn}]"
 # Fixed value: what a text with an entity holds, by kinds; every match of PATTERNS passes.
@@ -109,6 +118,51 @@ class Surrogates:
             end = text.rfind(" ", start, end)
         return 0
 
+    def mentions(self, text: str) -> list[list[tuple[int, int, str, str]]]:
+        """Pieces of each mention, as ``find`` gives them: name parts of persons, else one."""
+        found = list(self.find(text))
+        people = [_name_parts(start, value) for start, _, kind, value in found if kind in ("female", "male")]
+        if not people:
+            return [[piece] for piece in found]
+        given, surnames = {}, set()
+        for (_, _, kind, _), (first, rest) in zip((f for f in found if f[2] in ("female", "male")), people):
+            for _, _, word in first:
+                given.setdefault((word.lower(), kind), None)
+            surnames |= {word.lower() for _, _, word in rest} if first else set()
+        out, named = [], iter(people)
+        for start, end, kind, value in found:
+            if kind not in ("female", "male"):
+                out.append([(start, end, kind, value)])
+                continue
+            first, rest = next(named)
+            if not first and len(rest) == 1 and (rest[0][2].lower(), kind) in given and rest[0][2].lower() not in surnames:
+                first, rest = rest, []
+            out.append([(s, e, f"given-{kind}", w) for s, e, w in first] + [(s, e, "surname", w) for s, e, w in rest])
+        surnames = {w.lower() for pieces in out for _, _, kind, w in pieces if kind == "surname"}
+        genders = {}
+        for word, kind in given:
+            genders.setdefault(word, kind)
+        words = sorted({v for _, _, _, w in (p for pieces in out for p in pieces if p[2] in NAMES) for v in (w, w.upper())}, key=lambda w: (-len(w), w))
+        one = f"(?:{'|'.join(map(re.escape, words))})(?!\\w)"
+        untitled = re.compile(rf"(?<!\w){one}(?:[ \-]{one})*")
+        at = 0
+        for start, end, _, _ in [*found, (len(text), len(text), "", "")]:
+            for m in untitled.finditer(text, at, start):
+                pieces = [(m.start() + w.start(), m.start() + w.end(), w.group()) for w in re.finditer(r"[^ \-]+", m.group())]
+                out.append([(s, e, self._role(w.lower(), i == 0, len(pieces), genders, surnames), w) for i, (s, e, w) in enumerate(pieces)])
+            at = end
+        return sorted(out)
+
+    @staticmethod
+    def _role(word: str, leads: bool, size: int, genders: dict[str, str], surnames: set[str]) -> str:
+        if word in genders and (word not in surnames or (leads and size > 1)):
+            return f"given-{genders[word]}"
+        return "surname"
+
+    def held(self, text: str) -> set[tuple[str, str]]:
+        """Kind and entity of all that a text holds."""
+        return {(kind, value.lower()) for pieces in self.mentions(text) for _, _, kind, value in pieces}
+
     def _number(self, tweak: str, round_: int, value: int, size: int) -> int:
         digest = blake2b(f"{tweak}|{round_}|{value}".encode(), key=self.key[:64], digest_size=32).digest()
         return int.from_bytes(digest, "big") % size
@@ -153,19 +207,26 @@ class Surrogates:
         """Surrogate of an entity; the attempt number changes the permutation.
 
         A format with few or no values besides the entity's own cannot keep all entities
-        distinct. From attempt ``PATIENCE`` on the surrogate grows by a character each time.
+        distinct. From attempt ``PATIENCE`` on the surrogate grows by a character each time,
+        a given name by another one of the list.
         """
+        if kind in ("female", "male"):
+            first, rest = _name_parts(0, value)
+            at, out = 0, ""
+            for start, end, role, word in [(s, e, f"given-{kind}", w) for s, e, w in first] + [(s, e, "surname", w) for s, e, w in rest]:
+                out, at = out + value[at:start] + self.replace(role, word, attempt), end
+            return out
+        if kind.startswith("given-"):
+            return self._given(kind, value, attempt)
         drawn = self._draw(kind, value, attempt)
         more = "".join(
-            CLASSES[(2 - i % 2) if kind in ("female", "male", "email") else 0][self._number(f"{kind}|{value.lower()}|{attempt}", i, 0, 5)]
+            CLASSES[(2 - i % 2) if kind in ("surname", "email") else 0][self._number(f"{kind}|{value.lower()}|{attempt}", i, 0, 5)]
             for i in range(attempt - PATIENCE + 1)
         )
         return more + drawn if kind == "email" else drawn + more
 
     def _draw(self, kind: str, value: str, attempt: int) -> str:
         tweak = f"{kind}|{attempt}"
-        if kind in ("female", "male"):
-            return self._person(kind, value, tweak)
         if kind == "ip":
             whole = self.permute([int(x) for x in value.split(".")], [256] * 4, tweak)
             return ".".join(map(str, whole))
@@ -187,15 +248,18 @@ class Surrogates:
         shift = (int(value[last]) - _luhn(value[:last])) % 10
         return changed[:last] + str((_luhn(changed[:last]) + shift) % 10)
 
-    def _person(self, gender: str, value: str, tweak: str) -> str:
+    def _given(self, kind: str, value: str, attempt: int) -> str:
         script = "cyrillic" if re.search("[А-Яа-яЁё]", value) else "latin"
-        pool, parts = GIVEN[gender, script], re.split("([ -])", value)
-        low = value.lower()
-        if len(parts) > 1:
-            parts[0] = pool[self._number(tweak, 0, int.from_bytes(low.encode(), "big"), len(pool))]
-        start = 2 if len(parts) > 1 else 0
-        rest = self.scramble("".join(parts[start:]), f"{tweak}|{low.split(' ')[0] if start else ''}")
-        return "".join(parts[:start]) + rest
+        pool, number = GIVEN[kind.removeprefix("given-"), script], int.from_bytes(value.lower().encode(), "big")
+        drawn = "".join(pool[self._number(f"{kind}|{attempt}", i, number, len(pool))] for i in range(max(1, attempt - PATIENCE + 2)))
+        return drawn.upper() if value.isupper() else drawn.capitalize()
+
+
+def _name_parts(start: int, value: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+    """Given names and surnames of a titled name, with their places in the text."""
+    parts = [(start + m.start(), start + m.end(), m.group()) for m in re.finditer(r"[^ \-]+", value)]
+    space = value.find(" ")
+    return [p for p in parts if p[1] <= start + space], [p for p in parts if p[0] > start + space]
 
 
 def _size(sizes: list[int]) -> int:
@@ -252,7 +316,7 @@ def entities(docs: DataFrame, key: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Surrogates(key)
         for batch in batches:
-            found = {(kind, value.lower()) for text in batch.column(0).to_pylist() for _, _, kind, value in finder.find(text)}
+            found = {piece for text in batch.column(0).to_pylist() for piece in finder.held(text)}
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()), pa.array([v for _, v in found], pa.string())], names=["kind", "entity"])
 
     return docs.select(_candidates().alias("text")).where(F.col("text").isNotNull()).mapInArrow(run, "kind string, entity string").distinct()
@@ -277,7 +341,8 @@ def attempts(found: DataFrame, key: bytes) -> DataFrame:
         keeper = known.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "entity")).alias("keeper"), F.count(F.lit(1)).alias("sharing"))
         taken = found.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("occurs"))
         judged = known.join(keeper, ["kind", "surrogate"]).join(taken, ["kind", "surrogate"], "left")
-        moves = F.coalesce("occurs", F.lit(False)) | ((F.col("sharing") > 1) & (F.col("keeper.entity") != F.col("entity")))
+        occurs = F.when(F.col("kind").startswith("given-"), F.col("surrogate") == F.col("entity")).otherwise(F.coalesce("occurs", F.lit(False)))
+        moves = occurs | ((F.col("sharing") > 1) & (F.col("keeper.entity") != F.col("entity")))
         judged = write_once(judged.select("kind", "entity", "attempt", "surrogate", moves.alias("moves")), "surrogates")
         known = judged.drop("moves")
         if judged.where("moves").isEmpty():
@@ -292,7 +357,7 @@ def _per_document(docs: DataFrame, later: DataFrame, key: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Surrogates(key)
         for batch in batches:
-            rows = [(t, k, v) for t, text in zip(*(batch.column(i).to_pylist() for i in (0, 1))) for k, v in {(k, v.lower()) for _, _, k, v in finder.find(text)}]
+            rows = [(t, k, v) for t, text in zip(*(batch.column(i).to_pylist() for i in (0, 1))) for k, v in finder.held(text)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], names=["_text_key", "kind", "entity"])
 
     held = docs.select(F.sha2("text", 256).alias("_text_key"), _candidates().alias("text")).where(F.col("text").isNotNull())
@@ -320,10 +385,12 @@ def replace_private(docs: DataFrame, key: bytes) -> DataFrame:
                 counts.append(0)
                 continue
             parts, at, n = [], 0, 0
-            for start, end, kind, value in maker.find(text):
-                attempt = (moved or {}).get(f"{kind}|{value.lower()}", 0)
-                parts += [text[at:start], maker.replace(kind, value, attempt)]
-                at, n = end, n + 1
+            for pieces in maker.mentions(text):
+                for start, end, kind, value in pieces:
+                    attempt = (moved or {}).get(f"{kind}|{value.lower()}", 0)
+                    parts += [text[at:start], maker.replace(kind, value, attempt)]
+                    at = end
+                n += 1
             out.append("".join([*parts, text[at:]]))
             counts.append(n)
         return pd.DataFrame({"text": pd.Series(out, dtype=object), "n": pd.Series(counts, dtype="int32")})

@@ -471,3 +471,24 @@ def test_words_after_an_iban():
     assert found(f"AB12 {iban}") == [("iban", iban)]
     assert found("AB12 4111 1111 1111 1111") == [("card", "4111 1111 1111 1111")]
     assert found("DE88370400440532013000") == []
+
+
+def test_parts_of_a_name_stay_related(spark):
+    text = "Mrs. Anna Miller came. Mrs. Miller sat; Anna Miller spoke, Miller's hat, MILLER and Anna. Mr. Miller, Miss Anna; a miller, Millers"
+    docs = spark.createDataFrame([(0, text), (1, "Frau Miller kommt"), (2, "Miller and Anna are not titled")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in surrogates.replace_private(docs, b"k").collect()}
+    m = re.fullmatch(r"Mrs\. (\w+) (\w+) came\. Mrs\. (\w+) sat; (\w+) (\w+) spoke, (\w+)'s hat, (\w+) and (\w+)\. Mr\. (\w+), Miss (\w+); a miller, Millers", rows[0].text)
+    given, surname = m.group(1), m.group(2)
+    assert given in surrogates.GIVEN["female", "latin"] and given != "Anna" and surname != "Miller"
+    assert [m.group(i) for i in (4, 8, 10)] == [given] * 3
+    assert [m.group(i) for i in (3, 5, 6, 9)] == [surname] * 4 and m.group(7) == surname.upper()
+    assert rows[0].n_entities == 8
+    assert rows[1].text == f"Frau {surname} kommt"
+    assert rows[2].text == "Miller and Anna are not titled" and rows[2].n_entities == 0
+
+
+def test_many_given_names_stay_apart(spark):
+    names = [a + b for a in ("Al", "Be", "Ca", "Do") for b in ("na", "ra", "la", "ma", "ta", "sa", "va", "ka")]
+    docs = spark.createDataFrame([(i, f"Frau {n} Maier kommt") for i, n in enumerate(names)], "doc_id long, text string")
+    made = [r.text.split()[1:3] for r in surrogates.replace_private(docs, b"k").collect()]
+    assert len({g for g, _ in made}) == len(names) and len({s for _, s in made}) == 1
