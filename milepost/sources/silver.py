@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from milepost.session import write_once
+
 PARTITION = "p_source_date"
 BATCH = "_batch"
 
@@ -89,13 +91,23 @@ def append_unseen(
 def load_keyed(
     spark: SparkSession, df: DataFrame, path: str, key: str, partition: str = PARTITION
 ) -> None:
-    """Load all rows of a feed: new keys are appended, rows without a key replaced.
+    """Load all rows of a feed: new keys are appended, rows without a key replaced by date.
 
-    No key tells whether such a row is stored already, so all of them are written anew from
-    the feed on each load, as a table of their own. ``read_keyed`` reads both.
+    No key tells whether such a row is stored already, so those of the dates that the feed
+    brings are written anew, as a table of their own. Other dates stay. ``read_keyed`` reads both.
     """
     append_unseen(spark, df, path, key, partition)
-    write_snapshot(df.filter(F.col(key).isNull()), keyless_path(path), partition)
+    keyless = df.filter(F.col(key).isNull())
+    stored = read_table(spark, keyless_path(path))
+    if stored is not None:
+        # a date whose rows all have keys by now leaves nothing that would replace it
+        brought, left = (d.select(F.col(partition).alias("_date")).distinct() for d in (df, keyless))
+        same = F.col(partition).eqNullSafe(F.col("_date"))
+        emptied = stored.join(brought, same, "left_semi").join(left, same, "left_anti")
+        if not emptied.isEmpty():
+            rest = write_once(stored.join(brought, same, "left_anti"), "keyless")
+            return write_snapshot(rest.unionByName(keyless), keyless_path(path), partition)
+    write_partitions(keyless, keyless_path(path), partition)
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:

@@ -22,6 +22,7 @@ from milepost.sources.silver import (
     PARTITION,
     append_unseen,
     existing_keys,
+    load_keyed,
     read_keyed,
     read_table,
     register_table,
@@ -52,6 +53,18 @@ def test_append_keeps_stored_rows_of_a_touched_date(spark, tmp_path):
     assert stored(spark, path) == [(1, "a"), (2, "a"), (3, "b")]
 
 
+def test_rows_without_key_of_other_dates_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def load(*data):
+        load_keyed(spark, dated(spark, list(data)), path, "drive_id")
+        return sorted((r.drive_id or 0, r.v) for r in read_keyed(spark, path).collect())
+
+    assert load((1, "a", "2026-01-01"), (None, "b", "2026-01-01"), (None, "c", "2026-01-02"), (None, "n", None)) == [(0, "b"), (0, "c"), (0, "n"), (1, "a")]
+    assert load((None, "d", "2026-01-02"), (None, "e", "2026-01-02")) == [(0, "b"), (0, "d"), (0, "e"), (0, "n"), (1, "a")]
+    assert load((2, "b", "2026-01-01"), (None, "f", "2026-01-03")) == [(0, "d"), (0, "e"), (0, "f"), (0, "n"), (1, "a"), (2, "b")]
+
+
 def test_dynamic_overwrite_and_snapshot(spark, tmp_path):
     path = str(tmp_path / "t")
     write_partitions(dated(spark, [(1, "a", "2026-01-01"), (2, "a", "2026-01-02")]), path)
