@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,34 @@ def store_texts(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BITS = 23
+
+
+def bit_places(hashes: np.ndarray) -> np.ndarray:
+    """Places of 64-bit hashes in a table of ``2**BITS`` bits."""
+    return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def bit_table(places: DataFrame) -> np.ndarray:
+    """The table with the bits at ``places(place)`` set, as bytes.
+
+    It has one mebibyte however many places there are, so it can be shipped with tasks. Who
+    tests it with ``has_bits`` must tolerate a few hits too many.
+    """
+    shifted = F.col("place") + 1
+    buckets = places.groupBy(F.bitmap_bucket_number(shifted).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(shifted)).alias("bits")
+    )
+    table = np.zeros((2**BITS // 32_768, 4_096), np.uint8)
+    for row in buckets.collect():
+        table[row.bucket - 1] = np.frombuffer(row.bits, np.uint8)
+    return table.reshape(-1)
+
+
+def has_bits(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (table[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def later_copies(docs: DataFrame) -> DataFrame:
     """``doc_id`` of the documents whose whole text a smaller doc_id has too.
 
