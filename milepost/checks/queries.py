@@ -457,7 +457,7 @@ def silver_events_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def queries() -> dict[str, Query]:
+def _registry() -> dict[str, Query]:
     silver = {
         "src_csv_bronze": src_csv_bronze,
         "route_landing": route,
@@ -519,3 +519,12 @@ def queries() -> dict[str, Query]:
     marts = {name: _mart(name) for name in MARTS}
     marts["mv_driver_contribution_all"] = driver_contribution_all
     return {**silver, **operators, **marts}
+
+
+# built once: the queries made by closures stay the same objects
+REGISTRY = _registry()
+
+
+def queries() -> dict[str, Query]:
+    """All queries by name."""
+    return dict(REGISTRY)
