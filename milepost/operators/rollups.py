@@ -47,9 +47,10 @@ def _known_raw(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _known(df, [MONTH_OF.get(c, c) for c in columns])
 
 
-def trip_rows(trips: DataFrame) -> DataFrame:
-    """Trips as rollup rows: keys, months and measures."""
+def trip_rows(trips: DataFrame, *extra: str) -> DataFrame:
+    """Trips as rollup rows: keys, months and measures, and ``extra`` columns."""
     return trips.select(
+        *extra,
         "vehicle_id",
         "driver_id",
         month_start(F.col("start_drive")).alias("start_month"),
@@ -93,7 +94,9 @@ def trip_rollup(fleet: Fleet) -> DataFrame:
     return add_up(trip_rows(fleet.trips), TRIP_KEYS, TRIP_MEASURES)
 
 
-def event_trip_rows(events: DataFrame, trips: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def event_trip_rows(
+    events: DataFrame, trips: DataFrame, labels: DataFrame | None = None, extra: Sequence[str] = ()
+) -> DataFrame:
     """Events with the driver of their trip, both sides narrowed before the shuffle.
 
     This is the only join of two facts. It is left to sort-merge: an event-heavy
@@ -101,7 +104,7 @@ def event_trip_rows(events: DataFrame, trips: DataFrame, labels: DataFrame | Non
     without a label leave before it.
     """
     ev = events.select(
-        "drive_id", "vehicle_id", "scheme_id",
+        *extra, "drive_id", "vehicle_id", "scheme_id",
         month_start(F.col("start_time")).alias("event_month"),
     )
     if labels is not None:
@@ -140,6 +143,13 @@ def event_counts(
     return counts.join(labels, "scheme_id").groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
+def sightings(events: DataFrame, *extra: str) -> DataFrame:
+    """Events of each vehicle and scheme counted, with the time of the last one."""
+    return events.groupBy(*extra, "vehicle_id", "scheme_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("start_time").alias("last_time")
+    )
+
+
 def event_rollup(fleet: Fleet) -> DataFrame:
     """The rollup all event marts can share."""
     return event_trip_rows(fleet.events, fleet.trips).groupBy(*EVENT_KEYS).agg(

@@ -15,7 +15,7 @@ from milepost.constants import HEALTH_WEIGHTS, PEDAL_WORD, SCORE_ECONOMY, SCORE_
 from milepost.functions import metrics as M
 from milepost.functions.text import component, driving_error, pedal_issue
 from milepost.operators import joins as J
-from milepost.operators.rollups import event_counts
+from milepost.operators.rollups import event_counts, sightings
 from milepost.operators.windows import top_rows
 from milepost.schemas import Fleet
 
@@ -184,13 +184,13 @@ def mv_vehicle_health(fleet: Fleet, as_of: dt.date | None = None) -> DataFrame:
     labels = fleet.schemes.filter(F.col("parent_scheme").isNotNull()).select(
         "scheme_id", component(F.col("parent_scheme")).alias("part")
     ).filter(F.col("part").isin(*parts))
+    seen = sightings(fleet.events) if fleet.sightings is None else fleet.sightings
     counts = (
-        fleet.events.select("vehicle_id", "scheme_id", "start_time")
-        .join(labels, "scheme_id")
+        seen.join(labels, "scheme_id")
         .groupBy("vehicle_id")
         .agg(
-            *[F.count_if(F.col("part") == p).alias(f"{p}_events") for p in parts],
-            F.max("start_time").cast("date").alias("last_seen"),
+            *[F.sum(F.when(F.col("part") == p, F.col("n")).otherwise(0)).alias(f"{p}_events") for p in parts],
+            F.max("last_time").cast("date").alias("last_seen"),
         )
     )
     points = M.health_points({p: F.col(f"{p}_events") for p in parts})

@@ -131,8 +131,9 @@ FOREIGN_KEYS = {("t_events", "scheme_id"): ("d_schemes", "scheme_id")}
 class Fleet:
     """The star schema every mart is built from.
 
-    ``trip_rollup`` and ``event_rollup`` are optional stored aggregates of the facts
-    (see ``operators.rollups``); with them a mart never touches the raw facts.
+    ``trip_rollup``, ``event_rollup`` and ``sightings`` are optional stored aggregates of the
+    facts (see ``operators.rollups``), which may hold a key in several partial rows; with them
+    a mart never touches the raw facts.
     """
 
     trips: DataFrame
@@ -145,3 +146,4 @@ class Fleet:
     parameters: DataFrame
     trip_rollup: DataFrame | None = None
     event_rollup: DataFrame | None = None
+    sightings: DataFrame | None = None

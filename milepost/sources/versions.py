@@ -11,6 +11,8 @@ load took the number, so of two concurrent loads one has to be repeated.
 
 from __future__ import annotations
 
+import dataclasses
+import datetime as dt
 import json
 import uuid
 from collections.abc import Iterable
@@ -31,11 +33,15 @@ class ConcurrentLoad(Exception):
 
 @dataclass(frozen=True)
 class Version:
-    """A committed state: folders and schema (as JSON) per section."""
+    """A committed state: folders and schema (as JSON) per section.
+
+    ``built_from`` names versions of other tables that this one was computed from.
+    """
 
     number: int
     folders: dict[str, list[str]] = field(default_factory=dict)
     schemas: dict[str, str] = field(default_factory=dict)
+    built_from: dict[str, int] = field(default_factory=dict)
 
 
 def _path(spark: SparkSession, path: str):
@@ -110,6 +116,13 @@ def version_folders(spark: SparkSession, path: str, section: str = DATA) -> list
     return [f"{path}/{section}/{f}" for f in version.folders[section]] if version else []
 
 
+def changed_dates(old: Version | None, new: Version, section: str = DATA) -> list[dt.date | None]:
+    """Dates whose folders differ between two versions; all dates without an old one."""
+    before, after = (set(v.folders.get(section, [])) if v else set() for v in (old, new))
+    names = {f.rsplit("=", 1)[-1] for f in before ^ after}
+    return [None if n == NULL_DATE else dt.date.fromisoformat(n) for n in sorted(names)]
+
+
 def _date_name(date: object) -> str:
     return NULL_DATE if date is None else str(date)
 
@@ -123,6 +136,7 @@ class Load:
         self.folder = f"version={_number(self.base.number + 1)}-{uuid.uuid4().hex[:12]}"
         self.folders = dict(self.base.folders)
         self.schemas = dict(self.base.schemas)
+        self.built_from = dict(self.base.built_from)
 
     def write(
         self,
@@ -156,7 +170,7 @@ class Load:
     def commit(self) -> int:
         """Make all that was written the current version; its number is returned."""
         number = self.base.number + 1
-        text = json.dumps({"number": number, "folders": self.folders, "schemas": self.schemas})
+        text = json.dumps(dataclasses.asdict(Version(number, self.folders, self.schemas, self.built_from)))
         written, store = _path(self.spark, f"{self.path}/{MANIFESTS}/.{self.folder}")
         stream = store.create(written, True)
         try:
