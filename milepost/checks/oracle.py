@@ -426,6 +426,12 @@ def _silver() -> dict[str, str]:
             SELECT CASE WHEN drive_id % 50 <> 7 THEN drive_id END AS drive_id, driver_id, p_source_date,
                    drive_id AS feed_row
             FROM d""", d=DATED),
+        "publish_versions": _sql(
+            """
+            SELECT drive_id, driver_id, p_source_date, 1 AS load, 'failure' AS seen FROM d
+            UNION ALL
+            SELECT drive_id, driver_id, p_source_date,
+                   CASE WHEN p_source_date >= DATE '1998-01-01' THEN 2 ELSE 1 END, 'commit' FROM d""", d=DATED),
         "silver_events_by_date": _sql(
             """
             SELECT drive_id, driver_id, p_source_date,
@@ -965,4 +971,8 @@ def _marts() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**_silver(), **_operators(), **_marts()}
+    found = {**_silver(), **_operators(), **_marts()}
+    # other ways to the same result
+    found["append_indexed"] = found["silver_trips_incremental"]
+    found["refresh_incremental"] = found["mv_driver_ranking"]
+    return found

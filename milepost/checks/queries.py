@@ -19,13 +19,15 @@ from milepost.operators import joins as J
 from milepost.operators import quality as Q
 from milepost.operators import rollups as R
 from milepost.operators.windows import newest_row, top_rows, with_previous
-from milepost.plans import behaviour, economy, safety
+from milepost.plans import behaviour, economy, incremental, safety
 from milepost.plans import silver as S
 from milepost.plans.marts import MARTS
 from milepost.schemas import BRONZE, FOREIGN_KEYS, PRIMARY_KEYS
-from milepost.session import shared_dir
+from milepost.session import shared_dir, write_once
 from milepost.sources import feeds
+from milepost.sources import key_index as index
 from milepost.sources import projection as T
+from milepost.sources import versions
 from milepost.sources.bronze import SOURCE_FILE, read_bronze, route_landing
 from milepost.sources.silver import (
     PARTITION,
@@ -457,6 +459,56 @@ def silver_events_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def append_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loads of ``silver_trips_incremental`` into a versioned table with a key index."""
+    path = shared_dir(spark, "indexed-trips")
+    trips = _dated_trips(spark, sf_dir)
+    keyed = F.when(F.col("drive_id") % 50 != 7, F.col("drive_id")).alias("drive_id")
+    arrived = trips.select(keyed, "driver_id", PARTITION, F.col("drive_id").alias("feed_row"), "o_orderstatus")
+    loads = (arrived.filter("o_orderstatus = 'F'"), arrived, arrived.filter(F.col(PARTITION) >= F.lit(SECOND_LOAD)))
+    for load in loads:
+        index.append_indexed(spark, load.drop("o_orderstatus"), path, "drive_id")
+    return index.read_indexed(spark, path)
+
+
+def publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see after a load that died before its commit, and after the next one.
+
+    The first version is removed once the second replaced some of its dates.
+    """
+    path = shared_dir(spark, "versioned-trips")
+    trips = _dated_trips(spark, sf_dir).select("drive_id", "driver_id", PARTITION)
+    versions.publish(trips.withColumn("load", F.lit(1)), path, PARTITION)
+    later = trips.filter(F.col(PARTITION) >= F.lit(SECOND_LOAD))
+    try:
+        dying = versions.Load(spark, path)
+        dying.write(later.withColumn("load", F.lit(9)), partition=PARTITION, replace="dates")
+        raise RuntimeError("died between write and commit")
+    except RuntimeError:
+        after_failure = write_once(versions.read_version(spark, path), "after-failure")
+    versions.publish(later.withColumn("load", F.lit(2)), path, PARTITION, "dates")
+    versions.expire(spark, path)
+    after_commit = versions.read_version(spark, path)
+    return after_failure.withColumn("seen", F.lit("failure")).unionByName(after_commit.withColumn("seen", F.lit("commit")))
+
+
+def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Driver scores from rollups that were brought up to date after three quarters changed."""
+    root = shared_dir(spark, "incremental")
+    fleet = T.fleet(spark, sf_dir)
+    trips = fleet.trips.withColumn(PARTITION, F.trunc("start_drive", "quarter"))
+    events = fleet.events.withColumn(PARTITION, F.trunc("start_time", "quarter"))
+    late, changed = dt.date(1995, 4, 1), dt.date(1997, 1, 1)
+    driver = F.when(F.col(PARTITION) == F.lit(changed), F.lit(1)).otherwise(F.col("driver_id"))
+    incremental.load_fact(trips.withColumn("driver_id", driver).filter(~F.col(PARTITION).eqNullSafe(F.lit(late))), f"{root}/trips")
+    incremental.load_fact(events.filter(F.col(PARTITION) != F.lit(late)), f"{root}/events")
+    incremental.refresh_rollups(spark, f"{root}/trips", f"{root}/events", f"{root}/rollups")
+    incremental.load_fact(trips.filter(F.col(PARTITION).isin(late, changed)), f"{root}/trips")
+    incremental.load_fact(events.filter(F.col(PARTITION) == F.lit(late)), f"{root}/events")
+    incremental.refresh_rollups(spark, f"{root}/trips", f"{root}/events", f"{root}/rollups")
+    return MARTS["mv_driver_ranking"](incremental.with_rollups(fleet, f"{root}/rollups"), AS_OF)
+
+
 def _registry() -> dict[str, Query]:
     silver = {
         "src_csv_bronze": src_csv_bronze,
@@ -481,6 +533,9 @@ def _registry() -> dict[str, Query]:
         "drivers_official_date": drivers_official_date,
         "trips_incremental": trips_incremental,
         "silver_trips_incremental": silver_trips_incremental,
+        "append_indexed": append_indexed,
+        "publish_versions": publish_versions,
+        "refresh_incremental": refresh_incremental,
         "silver_events_by_date": silver_events_by_date,
         "conform_drivers": conform_drivers,
         "conform_groups": conform_groups,

@@ -52,34 +52,45 @@ def _pieces(text: Column, length: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+def containment_candidates(texts: DataFrame, fragments: DataFrame) -> DataFrame:
+    """Pairs ``_text, _fragment`` that share the rarest piece of the fragment.
+
+    ``texts(_text)`` and ``fragments(_fragment)`` are distinct and not empty. A text holding a
+    fragment holds each of its pieces of ``SEED`` characters (or all of a shorter one). The
+    piece that the fewest texts have becomes the seed of a fragment, so a beginning or word
+    that many fragments or texts share costs nothing; a fragment with a piece that no text
+    has is left out at once. The join is an equality on the seed.
+    """
+    lengths = fragments.agg(F.collect_set(F.least(F.length("_fragment"), F.lit(SEED)))).scalar()  # at most SEED numbers
+    pieces = _pieces(F.col("_text"), F.col("_length"))
+    of_texts = texts.withColumn("_length", F.explode(lengths)).select(
+        "_text", F.explode(F.array_distinct(pieces)).alias("_seed")
+    )
+    in_texts = of_texts.groupBy("_seed").agg(F.count(F.lit(1)).alias("_n"))
+    size = F.least(F.length("_fragment"), F.lit(SEED))
+    of_fragments = fragments.select("_fragment", F.explode(F.array_distinct(_pieces(F.col("_fragment"), size))).alias("_seed"))
+    seeds = (
+        of_fragments.join(in_texts, "_seed", "left")
+        .groupBy("_fragment")
+        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_seed").alias("seed"))).alias("_rarest"))
+        .where(F.col("_rarest.n") > 0)
+        .select("_fragment", F.col("_rarest.seed").alias("_seed"))
+    )
+    return of_texts.join(seeds, "_seed").select("_text", "_fragment")
+
+
 def join_contains(
     texts: DataFrame, text: str, fragments: DataFrame, fragment: str
 ) -> DataFrame:
     """Pairs where the text contains the fragment; empty fragments match nothing.
 
-    Containment is no equality, but a text holding a fragment also holds its first
-    ``SEED`` characters (or all of a shorter one). Texts are cut into pieces of the
-    lengths such seeds have, the join is an equality on the seed, and the exact test
-    runs on the few pairs left. Each distinct text and each distinct fragment is matched
-    once, however often it occurs, and no pair without a common seed is ever formed.
+    Each distinct text and each distinct fragment is matched once, however often it occurs:
+    candidates by a common seed, then the exact test.
     """
     distinct_texts = texts.select(F.col(text).alias("_text")).filter(F.col("_text") != "").distinct()
-    seeded_fragments = (
-        fragments.select(F.col(fragment).alias("_fragment"))
-        .filter(F.col("_fragment") != "")
-        .distinct()
-        .withColumn("_seed", F.substring("_fragment", 1, SEED))
-    )
-    # at most SEED numbers
-    lengths = seeded_fragments.agg(F.collect_set(F.length("_seed"))).scalar()
-    pieces = _pieces(F.col("_text"), F.col("_length"))
-    seeded_texts = distinct_texts.withColumn("_length", F.explode(lengths)).select(
-        "_text", F.explode(F.array_distinct(pieces)).alias("_seed")
-    )
-    pairs = (
-        seeded_texts.join(seeded_fragments, "_seed")
-        .filter(F.col("_text").contains(F.col("_fragment")))
-        .select("_text", "_fragment")
+    distinct_fragments = fragments.select(F.col(fragment).alias("_fragment")).filter(F.col("_fragment") != "").distinct()
+    pairs = containment_candidates(distinct_texts, distinct_fragments).filter(
+        F.col("_text").contains(F.col("_fragment"))
     )
     return (
         pairs.join(texts, F.col("_text") == F.col(text))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from milepost.operators import quality as Q
 from milepost.operators.dedup import at_latest, latest_per_key
-from milepost.operators.joins import join_contains
+from milepost.operators.joins import containment_candidates, join_contains
 from milepost.operators.reshape import unpivot_offenders
 from milepost.operators.windows import top_rows, with_previous, with_row_number
 from tests.conftest import rows
@@ -120,6 +120,17 @@ def test_join_contains_beyond_the_seed(spark, texts, fragments):
     assert rows(join_contains(left, "text", right, "fragment").select("i", "j")) == expected
 
 
+def test_containment_candidates_follow_matches(spark):
+    """Labels that share their beginning, and texts full of it, meet only where they match."""
+    start = "falha no sistema de "  # 20 letters
+    labels = spark.range(1000).select(F.concat(F.lit(start), F.lpad(F.col("id"), 4, "0"), F.lit(" de freio")).alias("_fragment"))
+    texts = spark.range(300).select(F.concat(F.lit("x " + start), F.lpad(F.col("id") * 7, 4, "0"), F.lit(" de freio dianteiro")).alias("_text"))
+    pairs = containment_candidates(texts, labels)
+    matching = pairs.filter(F.col("_text").contains(F.col("_fragment"))).count()
+    assert matching == 143  # ids below 1000 that are multiples of 7
+    assert pairs.count() <= 2 * matching
+
+
 def test_unpivot_keeps_the_total(spark):
     df = spark.createDataFrame(
         [(1, 2, 0, None, 4.5, 1)],
