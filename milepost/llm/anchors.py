@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from milepost.llm.arrays import BYTE_KEYS, U64, inside_texts, range_hashes, ranges, sliding, text_runs, window_hashes, winnowed, word_hashes, words
+from milepost.llm.arrays import BYTE_KEYS, U64, inside_texts, range_hashes, ranges, sliding, span_hashes, text_runs, window_hashes, winnowed, words
 from milepost.llm.tables import later_copies
 from milepost.operators.windows import write_once
 
@@ -57,13 +57,13 @@ class Run:
         self.shape, self.data, self.offsets, self.owner = shape, data, offsets, None
         if shape.kind == "word":
             self.starts, self.ends, self.bounds = words(data, offsets)
-            self.values = word_hashes(data, self.starts, self.ends)
+            self.values = span_hashes(data, self.starts, self.ends)
         else:
             self.bounds, self.values = offsets, BYTE_KEYS[0][data]
 
     def other_values(self) -> np.ndarray:
         """The units by an independent hash."""
-        return word_hashes(self.data, self.starts, self.ends, 1) if self.shape.kind == "word" else BYTE_KEYS[1][self.data]
+        return span_hashes(self.data, self.starts, self.ends, 1) if self.shape.kind == "word" else BYTE_KEYS[1][self.data]
 
     def anchors(self) -> np.ndarray:
         """Hash of the ``k`` units at each unit, with its last bit free; the greatest value where a text ends."""

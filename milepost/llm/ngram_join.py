@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from milepost.llm.arrays import U64, inside_texts, mix, range_hashes, text_runs, window_hashes, word_hashes, words
+from milepost.llm.arrays import U64, inside_texts, mix, range_hashes, span_hashes, text_runs, window_hashes, words
 from milepost.llm.components import components
 from milepost.operators.windows import write_once
 
@@ -50,7 +50,7 @@ def band_counts(threshold: float = THRESHOLD, recall: float = RECALL, most: int
 def ngrams(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """N-gram hashes of all texts, the first n-gram of each text, and 16-byte content keys."""
     starts, ends, bounds = words(data, offsets)
-    hashes = word_hashes(data, starts, ends)
+    hashes = span_hashes(data, starts, ends)
     lengths = np.diff(bounds)
     counts = np.where(lengths == 0, 0, np.maximum(lengths - n + 1, 1))
     firsts = np.concatenate(([0], np.cumsum(counts)))
@@ -59,7 +59,8 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, n
     grams[long] = window_hashes(hashes, n)[inside_texts(bounds, n, len(hashes))[: max(len(hashes) - n + 1, 0)]]
     short = np.flatnonzero((lengths > 0) & (lengths < n))
     grams[firsts[:-1][short]] = range_hashes(hashes, bounds[:-1][short], bounds[1:][short])
-    keys = np.stack([range_hashes(hashes, bounds[:-1], bounds[1:], which) for which in (0, 1)], axis=1)
+    content = hashes.view(np.uint8)  # a text may have any number of words: digests, no sums
+    keys = np.stack([span_hashes(content, 8 * bounds[:-1], 8 * bounds[1:], which) for which in (0, 1)], axis=1)
     return grams, firsts, keys
 
 
@@ -220,9 +221,10 @@ def similar_classes(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, r
 def keep_one_of_each(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """The rows of ``docs`` that stand for their class, and those without doc_id.
 
-    Of rows that repeat the standing doc_id one stays.
+    Of rows that repeat the standing doc_id with the same text one stays. Different texts
+    under that doc_id all stay, also one that is a near copy of another class.
     """
     classes = similar_classes(docs, n, threshold, recall)
     standing = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    kept = docs.join(standing, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(standing, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))

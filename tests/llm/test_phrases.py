@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from milepost.checks.compare import difference, oracle_connection
-from milepost.llm import collocations, fingerprints, lexical, queries
+from milepost.llm import collocations, fingerprints, lexical, ngram_join, queries, repeats
 from milepost.llm.arrays import span_hashes
 from milepost.llm.tables import bit_places, bit_table, has_bits
 
@@ -34,6 +34,28 @@ def test_span_hashes_tell_mirrored_words_apart(size):
     assert a == c and a != b
 
 
+def test_mirrored_words_are_no_repeats(spark):
+    """Documents that differ in one long word whose mirror a polynomial hash cannot tell from it."""
+    one, two = mirrored(2048)
+    around = [f"w{i}" for i in range(10)], [f"v{i}" for i in range(10)]
+    docs = [(i, " ".join([*around[0], word, *around[1]])) for i, word in enumerate((one, two), 1)]
+    removed = repeats.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [r.removed for r in removed] == [0, 0]
+    texts = spark.createDataFrame([(1, one + " x"), (2, two + " x")], "doc_id long, text string")
+    assert [r.n_links for r in ngram_join.similar_classes(texts).collect()] == [0, 0]
+    assert ngram_join.keep_one_of_each(texts).count() == 2
+    words = [" ".join(w) for w in mirrored(2048)]
+    texts = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    assert {r.n_links for r in ngram_join.similar_classes(texts).collect()} == {1}  # the same five-word pieces
+
+
+def test_different_texts_under_one_id_stay(spark):
+    prose = [" ".join(f"{c}{i}" for i in range(30)) for c in "abc"]
+    rows = [(1, prose[0]), (1, prose[1]), (2, prose[0]), (3, prose[2]), (1, prose[0]), (None, prose[2])]
+    kept = ngram_join.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id or 0, r.text) for r in kept)) == sorted([(1, prose[0]), (1, prose[1]), (3, prose[2]), (0, prose[2])])
+
+
 def test_span_hashes_depend_on_content_only():
     rng = random.Random(3)
     pieces = [bytes(rng.randrange(256) for _ in range(rng.randint(0, 40))) for _ in range(300)]
