@@ -3,6 +3,9 @@
 import random
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from milepost.llm import language, mixing, ngram_join, queries
 from milepost.llm.components import components
@@ -19,6 +22,30 @@ def test_stages_on_odd_rows(spark, odd_documents, no_documents):
         assert stage(spark, no_documents, SMALL).count() == 0, name
 
 
+def test_stages_keep_columns_with_their_own_names(spark):
+    names = ["_id", "_mark", "_text", "_lower", "_letter", "_changed", "_later", "_text_key", "_rank", "score", "n_entities"]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"own {name} "), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        done = stage(spark, docs, SMALL)
+        assert done.dtypes == docs.dtypes, name
+        rows = done.collect()
+        assert rows and all(r[c] == f"own {c} {r.doc_id}" for r in rows for c in names), name
+    assert corpus_pipeline.encode(spark, docs, SMALL).count() == docs.count()
+
+
+def test_the_key_of_the_tests_is_refused(spark):
+    drawn = corpus_pipeline.surrogate_key(spark)
+    assert drawn == corpus_pipeline.surrogate_key(spark) and len(drawn) == 64
+    spark.conf.set(corpus_pipeline.SECRET, queries.SURROGATE_KEY.decode())
+    try:
+        with pytest.raises(ValueError):
+            corpus_pipeline.surrogate_key(spark)
+    finally:
+        spark.conf.set(corpus_pipeline.SECRET, drawn.decode())
+
+
 def test_pipeline_keeps_what_its_stages_keep(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     kept = corpus_pipeline.keep_languages(spark, docs, SMALL)
@@ -58,5 +85,5 @@ def test_registered(spark):
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.queries()) <= names and "pipeline" in names
