@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ from milepost.operators.windows import top_rows, write_once
 
 K, LEAST = 2_000, 10
 DISPLACED_BY = 50
+ROWS = 1_000  # texts counted together
 UNDETERMINED = "und"
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -101,15 +103,15 @@ def _phrase_hashes(lang: str, *parts: np.ndarray) -> np.ndarray:
 
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[Words]:
-    langs = batch.column("lang").dictionary_encode()
-    codes = langs.indices.to_numpy()
-    for i, lang in enumerate(langs.dictionary.to_pylist()):
-        yield Words(lang, batch.column("text").take(pa.array(np.flatnonzero(codes == i))))
+    for start in range(0, len(batch), ROWS):
+        rows = batch.slice(start, ROWS)
+        langs = rows.column("lang").dictionary_encode()
+        codes = langs.indices.to_numpy()
+        for i, lang in enumerate(langs.dictionary.to_pylist()):
+            yield Words(lang, rows.column("text").take(pa.array(np.flatnonzero(codes == i))))
 
 
 def _counts(lang: str, names: list[pa.Array], n: np.ndarray) -> pa.RecordBatch:
-    import pyarrow.compute as pc
-
     phrase = names[0] if len(names) == 1 else pc.binary_join_element_wise(*names, pa.scalar(" ", pa.large_string()))
     return pa.RecordBatch.from_arrays(
         [pa.array([lang] * len(n), pa.string()), phrase.cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "phrase", "n"]
