@@ -8,10 +8,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
-from milepost.operators.rollups import event_rollup, trip_rollup
+from milepost.operators.rollups import event_rollup, sightings, trip_rollup
 from milepost.plans import behaviour, economy, parameters, safety
 from milepost.schemas import Fleet
-from milepost.sources.silver import write_snapshot
+from milepost.sources.versions import Load, expire, publish, read_version, version_folders
 
 # stored on every refresh
 MATERIALIZED = {
@@ -46,17 +46,18 @@ MARTS = {**MATERIALIZED, **VIEWS}
 
 
 def store_rollups(spark: SparkSession, fleet: Fleet, out: str) -> Fleet:
-    """Store both fact rollups and return a fleet that uses them.
+    """Store the rollups of the facts as one version and return a fleet that uses them.
 
-    One scan of the trips and one join of the facts then serve all marts.
+    One scan of the trips, one of the events and one join of both then serve all marts.
     """
-    write_snapshot(trip_rollup(fleet), f"{out}/rollups/trips", partition=None)
-    write_snapshot(event_rollup(fleet), f"{out}/rollups/events", partition=None)
-    return dataclasses.replace(
-        fleet,
-        trip_rollup=spark.read.parquet(f"{out}/rollups/trips"),
-        event_rollup=spark.read.parquet(f"{out}/rollups/events"),
-    )
+    load = Load(spark, f"{out}/rollups")
+    load.write(trip_rollup(fleet), "trips")
+    load.write(event_rollup(fleet), "events")
+    load.write(sightings(fleet.events), "sightings")
+    load.commit()
+    expire(spark, f"{out}/rollups", keep=2)
+    trips, events, seen = (read_version(spark, f"{out}/rollups", s) for s in ("trips", "events", "sightings"))
+    return dataclasses.replace(fleet, trip_rollup=trips, event_rollup=events, sightings=seen)
 
 
 def refresh_marts(
@@ -66,12 +67,12 @@ def refresh_marts(
     names: Iterable[str] = tuple(MATERIALIZED),
     as_of: dt.date | None = None,
 ) -> dict[str, str]:
-    """Store the named marts below ``out`` and return their paths."""
+    """Publish the named marts below ``out`` and return the folders of their new versions."""
     shared = store_rollups(spark, fleet, out)
     paths = {}
     for name in names:
-        paths[name] = f"{out}/{name}"
-        write_snapshot(MARTS[name](shared, as_of), paths[name], partition=None)
+        publish(MARTS[name](shared, as_of), f"{out}/{name}")
+        (paths[name],) = version_folders(spark, f"{out}/{name}")
     return paths
 
 

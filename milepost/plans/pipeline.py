@@ -16,15 +16,9 @@ from milepost.schemas import BRONZE, Fleet
 from milepost.session import build_session, shuffle_partitions
 from milepost.sources.bronze import SOURCE_FILE, read_bronze
 from milepost.sources.reference import load_dictionary, load_parameters
-from milepost.sources.silver import (
-    keyless_path,
-    load_keyed,
-    read_keyed,
-    read_table,
-    register_table,
-    write_partitions,
-    write_snapshot,
-)
+from milepost.sources.key_index import append_indexed, read_indexed, replace_indexed
+from milepost.sources.silver import PARTITION, register_table, register_version
+from milepost.sources.versions import expire, publish, read_version, version_folders
 
 
 def load_silver(
@@ -33,8 +27,12 @@ def load_silver(
     out: str,
     as_of: dt.date | None = None,
     incremental_trips: bool = True,
-) -> dict[str, DataFrame | None]:
-    """Bronze to silver. Trips come first because drivers take their date from them."""
+) -> dict[str, DataFrame]:
+    """Bronze to silver, each table published as a new version.
+
+    Trips come first because drivers take their date from them. They are appended through their
+    key index; those without a drive id replace what the same files brought before.
+    """
 
     def raw(feed: str) -> DataFrame:
         return read_bronze(spark, f"{bronze}/{feed}", BRONZE[feed])
@@ -42,35 +40,32 @@ def load_silver(
     def path(feed: str) -> str:
         return f"{out}/silver/{feed}"
 
-    trips = S.silver_trips(raw("trips")).drop(SOURCE_FILE)
     if incremental_trips:
-        load_keyed(spark, trips, path("trips"), "drive_id")
+        append_indexed(spark, S.silver_trips(raw("trips")), path("trips"), "drive_id", origin=SOURCE_FILE)
     else:
-        write_snapshot(trips.filter("drive_id IS NOT NULL"), path("trips"))
-        write_snapshot(trips.filter("drive_id IS NULL"), keyless_path(path("trips")))
-
+        replace_indexed(spark, S.silver_trips(raw("trips")), path("trips"), "drive_id")
     for feed, build in (
         ("groups", S.silver_groups), ("schemes", S.silver_schemes), ("vehicles", S.silver_vehicles),
     ):
-        write_snapshot(build(raw(feed), as_of).drop(SOURCE_FILE), path(feed))
+        publish(build(raw(feed), as_of).drop(SOURCE_FILE), path(feed), PARTITION)
     # events of dates that bronze no longer holds stay
-    write_partitions(S.silver_events(raw("events"), as_of).drop(SOURCE_FILE), path("events"))
+    publish(S.silver_events(raw("events"), as_of).drop(SOURCE_FILE), path("events"), PARTITION, "dates")
 
-    stored_trips = read_keyed(spark, path("trips"))
-    write_snapshot(S.silver_drivers(raw("drivers"), stored_trips), path("drivers"))
-    return {f: read_keyed(spark, path(f)) if f == "trips" else read_table(spark, path(f)) for f in BRONZE}
+    stored = {"trips": read_indexed(spark, path("trips")).drop(SOURCE_FILE)}
+    publish(S.silver_drivers(raw("drivers"), stored["trips"]), path("drivers"), PARTITION)
+    return stored | {feed: read_version(spark, path(feed)) for feed in BRONZE if feed != "trips"}
 
 
 def load_warehouse(
     spark: SparkSession, silver: dict[str, DataFrame], out: str, as_of: dt.date | None = None
 ) -> dict[str, DataFrame]:
-    """Silver to warehouse, every table replaced, dimensions before facts."""
+    """Silver to warehouse, every table replaced by a new version, dimensions before facts."""
     tables = {}
     for name, (feed, build) in CONFORM.items():
         dated = name in ("d_schemes", "t_events")
         df = build(silver[feed], as_of) if dated else build(silver[feed])
-        write_snapshot(df, f"{out}/warehouse/{name}", partition=None)
-        tables[name] = spark.read.parquet(f"{out}/warehouse/{name}")
+        publish(df, f"{out}/warehouse/{name}")
+        tables[name] = read_version(spark, f"{out}/warehouse/{name}")
     return tables
 
 
@@ -84,10 +79,11 @@ def run_pipeline(
     incremental_trips: bool = True,
     database: str | None = None,
 ) -> dict[str, str]:
-    """Run all layers and return the paths of the stored marts.
+    """Run all layers and return the folders that hold the current marts.
 
-    With ``database`` the warehouse tables and marts can be read by name there afterwards,
-    and the views exist in the session.
+    With ``database`` silver (as ``silver_<feed>``), warehouse tables and marts can be read by
+    name there afterwards, and the views exist in the session. Whatever fails on the way,
+    readers keep the versions before; those are removed when the run is through, but for one.
     """
     silver = load_silver(spark, bronze, out, as_of, incremental_trips)
     require_checkpoint(spark, silver)
@@ -105,10 +101,15 @@ def run_pipeline(
     paths = refresh_marts(spark, fleet, f"{out}/marts", as_of=as_of)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        stored = {name: f"{out}/warehouse/{name}" for name in CONFORM} | paths
-        for name, path in stored.items():
+        for name in CONFORM:
+            register_table(spark, f"{database}.{name}", version_folders(spark, f"{out}/warehouse/{name}")[0])
+        for name, path in paths.items():
             register_table(spark, f"{database}.{name}", path)
+        for feed in BRONZE:
+            register_version(spark, f"{database}.silver_{feed}", f"{out}/silver/{feed}")
         create_views(fleet, as_of=as_of)
+    for table in [f"silver/{f}" for f in BRONZE] + [f"warehouse/{n}" for n in CONFORM] + [f"marts/{n}" for n in paths]:
+        expire(spark, f"{out}/{table}", keep=2)
     return paths
 
 

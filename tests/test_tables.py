@@ -29,6 +29,7 @@ from milepost.sources.silver import (
     write_partitions,
     write_snapshot,
 )
+from milepost.sources.versions import publish, read_version
 from milepost.streaming.ingest import ingest, ingest_unseen, stream_bronze
 from tests.conftest import rows
 
@@ -252,12 +253,16 @@ def test_pipeline(spark, small, bronze, tmp_path):
     paths = run_pipeline(spark, bronze, out, dictionary, parameters, AS_OF, database="fleet_test")
     assert len(paths) == 12
     counts = {name: spark.read.parquet(path).count() for name, path in paths.items()}
-    trips = spark.read.parquet(f"{out}/warehouse/t_trips")
+    trips = read_version(spark, f"{out}/warehouse/t_trips")
     assert trips.schema.names == WAREHOUSE["t_trips"].names
     assert trips.filter("drive_id IS NULL").count() > 0
     assert all(spark.table(f"fleet_test.{name}").count() == n for name, n in counts.items())
     assert spark.table("fleet_test.t_trips").count() == trips.count()
     assert spark.table("v_driver_keymap").count() > 0
+    for feed in ("events", "drivers", "trips"):
+        expected = read_version(spark, f"{out}/silver/{feed}")
+        named = spark.table(f"fleet_test.silver_{feed}").drop("version")
+        assert named.count() == expected.count() and set(named.dtypes) == set(expected.dtypes)
     silver = load_silver(spark, bronze, out, AS_OF)  # a repeated run brings no new trips
     assert silver["trips"].count() == trips.count()
     full_out = str(tmp_path / "full")
@@ -271,9 +276,9 @@ def test_pipeline(spark, small, bronze, tmp_path):
 def test_events_of_dates_gone_from_bronze_stay(spark, bronze, tmp_path):
     out = str(tmp_path)
     load_silver(spark, bronze, out, AS_OF)
-    stored = read_table(spark, f"{out}/silver/events")
+    stored = read_version(spark, f"{out}/silver/events")
     old = stored.limit(1).withColumn(PARTITION, F.lit(dt.date(1980, 1, 1)))
-    write_partitions(write_once(old, "old-event"), f"{out}/silver/events")
+    publish(write_once(old, "old-event"), f"{out}/silver/events", PARTITION, "dates")
     again = load_silver(spark, bronze, out, AS_OF)["events"]
     assert again.filter(F.col(PARTITION) == F.lit(dt.date(1980, 1, 1))).count() == 1
 
