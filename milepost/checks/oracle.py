@@ -426,6 +426,20 @@ def _silver() -> dict[str, str]:
             SELECT CASE WHEN drive_id % 50 <> 7 THEN drive_id END AS drive_id, driver_id, p_source_date,
                    drive_id AS feed_row
             FROM d""", d=DATED),
+        "bronze_quarantine": """
+            SELECT CASE WHEN reason IS NULL THEN id END AS drive_id,
+                   CASE WHEN reason IS NULL THEN CASE k WHEN 5 THEN driver || ', twice' ELSE driver END END AS driver_id,
+                   CASE WHEN reason IS NULL THEN o_orderstatus END AS status,
+                   CASE k WHEN 1 THEN id || ',' || driver
+                          WHEN 2 THEN id || ',' || driver || ',' || o_orderstatus || ',extra'
+                          WHEN 3 THEN id || ',"' || driver || ',' || o_orderstatus
+                          WHEN 4 THEN id || ',"' || driver || '"x,' || o_orderstatus END AS line,
+                   reason
+            FROM (SELECT o_orderkey % 10 AS k, CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS driver,
+                         o_orderstatus,
+                         CASE o_orderkey % 10 WHEN 1 THEN 'too few fields' WHEN 2 THEN 'too many fields'
+                                              WHEN 3 THEN 'broken quotes' WHEN 4 THEN 'broken quotes' END AS reason
+                  FROM orders)""",
         "publish_versions": _sql(
             """
             SELECT drive_id, driver_id, p_source_date, 1 AS load, 'failure' AS seen FROM d

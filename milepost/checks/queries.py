@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types
 
 from milepost.constants import TRIP_TIME_FORMATS
 from milepost.functions import cleaning as C
@@ -28,7 +29,7 @@ from milepost.sources import feeds
 from milepost.sources import key_index as index
 from milepost.sources import projection as T
 from milepost.sources import versions
-from milepost.sources.bronze import SOURCE_FILE, read_bronze, route_landing
+from milepost.sources.bronze import SOURCE_FILE, read_bronze, read_checked, route_landing
 from milepost.sources.silver import (
     PARTITION,
     append_unseen,
@@ -62,6 +63,28 @@ def src_csv_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DAMAGED = (
+    "CASE o_orderkey % 10 WHEN 1 THEN concat(o_orderkey, ',', o_custkey) "
+    "WHEN 2 THEN concat(o_orderkey, ',', o_custkey, ',', o_orderstatus, ',extra') "
+    "WHEN 3 THEN concat(o_orderkey, ',\"', o_custkey, ',', o_orderstatus) "
+    "WHEN 4 THEN concat(o_orderkey, ',\"', o_custkey, '\"x,', o_orderstatus) "
+    "WHEN 5 THEN concat(o_orderkey, ',\"', o_custkey, ', twice\",', o_orderstatus) "
+    "ELSE concat(o_orderkey, ',', o_custkey, ',', o_orderstatus) END"
+)
+
+
+def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which some are short, long or badly quoted: good rows and rejected lines."""
+    path = shared_dir(spark, "damaged")
+    T.table(spark, sf_dir, "orders").selectExpr(f"{DAMAGED} AS value").write.text(path)
+    schema = types.StructType.fromDDL("drive_id string, driver_id string, status string")
+    good, rejected = read_checked(spark, path, schema, header=False)
+    nothing = F.lit(None).cast("string")
+    return good.select(*schema.names, nothing.alias("line"), nothing.alias("reason")).unionByName(
+        rejected.select(*[nothing.alias(n) for n in schema.names], "line", "reason")
+    )
+
+
 LANDED = (
     "concat(CASE o_orderkey % 9 WHEN 0 THEN 'fleet_drivers/' WHEN 1 THEN 'fleet_events/' "
     "WHEN 2 THEN 'fleet_group/' WHEN 3 THEN 'fleet_schemes/' WHEN 4 THEN 'fleet_trips/' "
@@ -512,6 +535,7 @@ def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _registry() -> dict[str, Query]:
     silver = {
         "src_csv_bronze": src_csv_bronze,
+        "bronze_quarantine": bronze_quarantine,
         "route_landing": route,
         "sink_roundtrip": sink_roundtrip,
         "retain_latest": retain_latest,

@@ -14,7 +14,7 @@ from milepost.plans import silver as S
 from milepost.plans.marts import create_views, refresh_marts
 from milepost.schemas import BRONZE, Fleet
 from milepost.session import build_session, shuffle_partitions
-from milepost.sources.bronze import SOURCE_FILE, read_bronze
+from milepost.sources.bronze import SOURCE_FILE, read_bronze, read_checked
 from milepost.sources.reference import load_dictionary, load_parameters
 from milepost.sources.key_index import append_indexed, read_indexed, replace_indexed
 from milepost.sources.silver import PARTITION, register_table, register_version
@@ -27,15 +27,23 @@ def load_silver(
     out: str,
     as_of: dt.date | None = None,
     incremental_trips: bool = True,
+    quarantine: bool = False,
 ) -> dict[str, DataFrame]:
     """Bronze to silver, each table published as a new version.
 
+    With ``quarantine`` malformed lines do not reach silver; they are published with their reasons
+    as ``rejected/<feed>``. Otherwise missing fields are NULL and extra ones are left out.
+
     Trips come first because drivers take their date from them. They are appended through their
     key index; those without a drive id replace what the same files brought before.
     """
 
     def raw(feed: str) -> DataFrame:
-        return read_bronze(spark, f"{bronze}/{feed}", BRONZE[feed])
+        if not quarantine:
+            return read_bronze(spark, f"{bronze}/{feed}", BRONZE[feed])
+        good, rejected = read_checked(spark, f"{bronze}/{feed}", BRONZE[feed])
+        publish(rejected, f"{out}/rejected/{feed}")
+        return good
 
     def path(feed: str) -> str:
         return f"{out}/silver/{feed}"
@@ -78,6 +86,7 @@ def run_pipeline(
     as_of: dt.date | None = None,
     incremental_trips: bool = True,
     database: str | None = None,
+    quarantine: bool = False,
 ) -> dict[str, str]:
     """Run all layers and return the folders that hold the current marts.
 
@@ -85,7 +94,7 @@ def run_pipeline(
     name there afterwards, and the views exist in the session. Whatever fails on the way,
     readers keep the versions before; those are removed when the run is through, but for one.
     """
-    silver = load_silver(spark, bronze, out, as_of, incremental_trips)
+    silver = load_silver(spark, bronze, out, as_of, incremental_trips, quarantine)
     require_checkpoint(spark, silver)
     tables = load_warehouse(spark, silver, out, as_of)
     fleet = Fleet(
@@ -128,6 +137,7 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--parameters", required=True)
     args.add_argument("--as-of", type=dt.date.fromisoformat)
     args.add_argument("--full-trips", action="store_true")
+    args.add_argument("--quarantine", action="store_true", help="keep malformed lines out of silver")
     args.add_argument("--database", help="register tables and marts there")
     given = args.parse_args(argv)
     spark = build_session("milepost-pipeline")
@@ -136,7 +146,7 @@ def main(argv: list[str] | None = None) -> None:
     run_pipeline(
         spark, given.bronze, given.out,
         load_dictionary(spark, given.dictionary), load_parameters(spark, given.parameters),
-        given.as_of, not given.full_trips, given.database,
+        given.as_of, not given.full_trips, given.database, given.quarantine,
     )
 
 

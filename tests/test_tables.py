@@ -16,7 +16,7 @@ from milepost.schemas import BRONZE, WAREHOUSE
 from milepost.session import shared_dir, write_once
 from milepost.sources import feeds
 from milepost.sources import projection as T
-from milepost.sources.bronze import SOURCE_FILE, read_bronze, route_landing
+from milepost.sources.bronze import SOURCE_FILE, read_bronze, read_checked, route_landing
 from milepost.sources.reference import load_dictionary, load_parameters
 from milepost.sources.silver import (
     PARTITION,
@@ -116,6 +116,23 @@ def test_read_bronze_matches_header_and_dates(spark, tmp_path):
     assert read_bronze(spark, str(tmp_path), BRONZE["drivers"], recursive=False).count() == 0
 
 
+def test_every_line_is_good_or_rejected(spark, tmp_path):
+    schema = BRONZE["drivers"]
+    lines = [
+        '1,"Ana, filha",2,x,7', "2,Bia,2,x", "3,Caio,2,x,7,8,9", '4,"Dora,2,x,7', '5,"Eva"s,2,x,7', ",,,,", "", '6,"F,G",2,x',
+    ]
+    for i, part in enumerate((lines[:4], lines[4:], [])):
+        (tmp_path / f"{i}_drivers.csv").write_text("\n".join([",".join(schema.names), *part]) + "\n")
+    good, rejected = read_checked(spark, str(tmp_path), schema)
+    assert [r.driver_name for r in good.orderBy("driver_id").collect()] == [None, "Ana, filha"]
+    assert good.columns == [*schema.names, SOURCE_FILE]
+    assert sorted((r.line[:1], r.reason, r.file.rsplit("/")[-1][:1]) for r in rejected.collect()) == [
+        ("2", "too few fields", "0"), ("3", "too many fields", "0"), ("4", "broken quotes", "0"),
+        ("5", "broken quotes", "1"), ("6", "too few fields", "1"),
+    ]
+    assert {r.line for r in rejected.collect()} <= set(lines)
+
+
 def test_route_landing(spark):
     keys = ["in_group/a.csv", "in_trips/b.csv", "bronze/in_trips/c.csv", "in_tripsx/d.csv", "e.csv"]
     routed = route_landing(spark.createDataFrame([(k,) for k in keys], "path string"), "in_")
