@@ -300,6 +300,19 @@ def test_events_of_dates_gone_from_bronze_stay(spark, bronze, tmp_path):
     assert again.filter(F.col(PARTITION) == F.lit(dt.date(1980, 1, 1))).count() == 1
 
 
+def test_quarantined_lines_do_not_reach_silver(spark, bronze, tmp_path):
+    import shutil
+
+    source = tmp_path / "bronze"
+    shutil.copytree(bronze, source)
+    (source / "groups" / "export_2026_1_1_group.csv").write_text(",".join(BRONZE["groups"].names) + "\n77\n")
+    silver = load_silver(spark, str(source), str(tmp_path / "out"), AS_OF, quarantine=True)
+    assert silver["groups"].count() > 0
+    assert silver["groups"].filter("group_id = 77").count() == 0
+    rejected = read_version(spark, f"{tmp_path}/out/rejected/groups").collect()
+    assert [(r.line, r.reason) for r in rejected] == [("77", "too few fields")]
+
+
 def test_input_bytes(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "x.csv").write_text("12345")
