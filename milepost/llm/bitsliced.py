@@ -9,29 +9,51 @@ are then selected from the most significant slice of the sum downward. Rows stil
 after the last slice tie exactly and go by id. Selected rows get their exact score from the
 stored values.
 
+A row is wide if products with rows like it could leave 64 bits. Wide rows have shards and
+blocks of their own, and whatever meets them is multiplied in whole numbers of any length.
+
 Defined results: vectors that are null or hold a null or non-finite component take no part,
-neither do rows without id and vectors with a scaled component of 2**28 or more, whose
-products could leave 64 bits. Of rows that repeat an id the least vector counts. Vectors of
-different length never meet; those of length 0 score 0. A query with fewer than ``k``
-candidates gets all of them.
+neither do rows without id. All rows of a repeated id take part: none is a candidate of its
+own id, each is one of other ids. A score beyond 64 bits is shown as the nearest 64-bit
+number and ranks as such between shards. Vectors of different length never meet; those of
+length 0 score 0. A query with fewer than ``k`` candidates gets all of them.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from milepost.llm.blocks import finite, search_blocks
+from milepost.llm.blocks import components, finite, search_blocks
 
 SCALE = 256
 SHARD_ROWS = 32_768
 BLOCK_ROWS = 128
-LARGEST = float(2**28)
+WIDE = float(2**31)  # greatest component times the root of the length
+LONGEST, LEAST = 2**63 - 1, -(2**63)
+
+
+def scaled(values: np.ndarray, scale: int) -> np.ndarray:
+    """``floor(scale * x)`` as 64-bit numbers, or as whole numbers of any length if these are too short."""
+    values = values.astype(np.float64, copy=False)
+    if is_wide(values, scale):
+        whole = lambda x: int(x) * scale if abs(x) >= 2**53 else math.floor(x * scale)
+        return np.array([[whole(x) for x in row] for row in values.tolist()], object).reshape(values.shape)
+    return np.floor(values * scale).astype(np.int64)
+
+
+def is_wide(values: np.ndarray, scale: int) -> bool:
+    return bool(values.size) and float(np.abs(values).max()) * math.sqrt(values.shape[1]) >= WIDE / scale
 
 
 def build_slices(ids: np.ndarray, values: np.ndarray) -> dict:
     """Bitmaps (attribute, bit, word of 64 rows) of the values less their minimum."""
+    if values.dtype == object:
+        return {"ids": ids, "values": values, "slices": None, "bits": 0}
     values = values.astype(np.int64)
     low = int(values.min()) if values.size else 0
     shifted = values - low
@@ -88,8 +110,23 @@ def select_top(sums: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate((chosen, where(tied)[: k - len(chosen)]))
 
 
+def search_wide(index: dict, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``search_slices``, by multiplying whole numbers of any length."""
+    values, own = index["values"].astype(object), index["ids"]
+    owner, found, scores = [], [], []
+    for place, (name, weights) in enumerate(zip(ids, queries.astype(object))):
+        every = values.dot(weights) if values.shape[1] else np.zeros(len(own), object)
+        top = heapq.nsmallest(k, np.flatnonzero(own != name).tolist(), key=lambda i: (-every[i], own[i]))
+        owner += [place] * len(top)
+        found += [int(own[i]) for i in top]
+        scores += [min(max(int(every[i]), LEAST), LONGEST) for i in top]
+    return np.array(owner, np.int64), np.array(found, np.int64), np.array(scores, np.int64)
+
+
 def search_slices(index: dict, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the queries, ids and scores of the rows found."""
+    if index["slices"] is None or queries.dtype == object:
+        return search_wide(index, ids, queries, k)
     count, own = len(index["ids"]), index["ids"]
     everyone = np.zeros(index["slices"].shape[2] * 64, np.uint8)
     everyone[:count] = 1
@@ -97,8 +134,7 @@ def search_slices(index: dict, ids: np.ndarray, queries: np.ndarray, k: int) ->
     owner, found, scores = [], [], []
     for place, (name, weights) in enumerate(zip(ids, queries.astype(np.int64))):
         rows = everyone.copy()
-        at = int(np.searchsorted(own, name))
-        if at < count and own[at] == name:
+        for at in range(np.searchsorted(own, name), np.searchsorted(own, name, "right")):
             rows[at // 64] &= ~np.uint64(1 << (at % 64))
         top = select_top(weighted_sum(index["slices"], weights, index["bits"]), rows, k)
         owner.append(np.full(len(top), place))
@@ -118,12 +154,15 @@ def top_products(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: up to ``k`` rows with the greatest inner product."""
-    scaled = F.transform(F.col(vector_column).cast("array<double>"), lambda x: F.floor(x * F.lit(float(scale))).cast("double"))
-    rows = vectors.where(finite(F.col(vector_column).cast("array<double>")))
-    rows = rows.where(F.forall(F.col(vector_column).cast("array<double>"), lambda x: F.abs(x) < LARGEST / scale))
-    rows = rows.select(F.col(id_column).cast("long").alias("id"), scaled.alias("vector"), queries.alias("_asked"))
+    vector = components(vectors, vector_column)
+    rows = vectors.where(finite(vector)).select(F.col(id_column).cast("long").alias("id"), vector.alias("vector"), queries.alias("_asked"))
+    greatest = F.array_max(F.transform("vector", lambda x: F.abs(x).cast("double")))
+    wide = F.coalesce(greatest * F.sqrt(F.size("vector")) >= F.lit(WIDE / scale), F.lit(False))
+
+    def build(ids: np.ndarray, values: np.ndarray) -> dict:
+        return build_slices(ids, scaled(values, scale))
 
     def search(index: dict, ids: np.ndarray, values: np.ndarray):
-        return search_slices(index, ids, values, k)
+        return search_slices(index, ids, scaled(values, scale), k)
 
-    return search_blocks(rows, F.col("_asked"), build_slices, search, k, "long", F.desc, shard_rows, block_rows)
+    return search_blocks(rows, F.col("_asked"), build, search, k, "long", F.desc, shard_rows, block_rows, wide)

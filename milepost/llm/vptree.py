@@ -10,8 +10,9 @@ still in reach of some query are compared with just these queries.
 
 Defined results: vectors that are null, all zero or empty, or hold a null or non-finite
 component take no part, neither do rows without id. Equal distances go to the smaller id.
-Of rows that repeat an id the least vector counts. Vectors of different length never meet.
-A query with fewer than ``k`` candidates gets all of them.
+All rows of a repeated id take part: none is a candidate of its own id, each is one of other
+ids. Vectors of different length never meet. A query with fewer than ``k`` candidates gets all
+of them.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from milepost.llm.blocks import finite, search_blocks
+from milepost.llm.blocks import components, finite, search_blocks
 
 LEAF = 64
 SHARD_ROWS = 8_192
@@ -31,8 +32,9 @@ RELAXATION = 1.25
 def distances(points: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Euclidean distance of each point to each of the others, in double precision."""
     out = np.empty((len(points), len(others)))
+    others = others.astype(np.float64, copy=False)
     for i in range(0, len(points), 64):
-        step = points[i : i + 64, None, :] - others[None, :, :]
+        step = points[i : i + 64, None, :].astype(np.float64, copy=False) - others[None, :, :]
         out[i : i + 64] = np.sqrt(np.einsum("ijk,ijk->ij", step, step))
     return out
 
@@ -138,7 +140,7 @@ def nearest(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: up to ``k`` nearest rows of each query row."""
-    vector = F.col(vector_column).cast("array<double>")
+    vector = components(vectors, vector_column)
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), vector.alias("vector"), queries.alias("_asked"))
     rows = rows.where(finite(F.col("vector")) & F.exists("vector", lambda x: x != 0))
 

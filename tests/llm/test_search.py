@@ -23,21 +23,23 @@ def vectors(spark):
 
 
 def usable(rows, zero):
+    """Vectors of each id that takes part: one for each of its rows."""
     out = {}
     for r in rows:
         v = r.embedding
         if r.vec_id is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
         if zero or any(v):
-            out[r.vec_id] = np.array(v, np.float64)
+            out.setdefault(r.vec_id, []).append(np.array(v, np.float64))
     return out
 
 
 def brute(found, every, k, score, best):
+    """The best pairs of a row with the asked id and a row with another one, as the SQL has them."""
     out = {}
     for q in found:
-        pool = [(best * score(every[q], v), i, score(every[q], v)) for i, v in every.items() if i != q and len(v) == len(every[q])]
-        out[q] = [(i, s) for _, i, s in sorted(pool)[:k]]
+        pairs = [(score(own, v), i) for own in every[q] for i, group in every.items() if i != q for v in group if len(v) == len(own)]
+        out[q] = [(i, s) for s, i in sorted(pairs, key=lambda p: (best * p[0], p[1]))[:k]]
     return out
 
 
@@ -63,10 +65,10 @@ def test_vantage_point_recall_of_the_query(spark):
     sf = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
     every = usable(rows, zero=False)
-    ids, matrix = np.array(sorted(every)), np.array([every[i] for i in sorted(every)])
+    ids, matrix = np.array(sorted(every)), np.array([every[i][0] for i in sorted(every)])
     hit = total = 0
     for q, group in queries.op3_vantage_points(spark, sf).toPandas().groupby("query_id"):
-        away = np.sqrt(((matrix - every[q]) ** 2).sum(1))
+        away = np.sqrt(((matrix - every[q][0]) ** 2).sum(1))
         away[ids == q] = np.inf
         best = set(ids[np.lexsort((ids, away))[:10]])
         hit += len(best & set(group.vec_id))
@@ -101,7 +103,7 @@ def test_relaxation_skips_more(vectors):
 
 
 def test_bit_slices_are_exact(vectors):
-    scaled = {i: np.floor(256 * v) for i, v in usable(vectors.collect(), zero=True).items()}
+    scaled = {i: [np.floor(256 * v) for v in group] for i, group in usable(vectors.collect(), zero=True).items()}
     asked = [i for i in scaled if i % 10 == 0]
     product = lambda a, b: int(a @ b)
     found = bitsliced.top_products(vectors, F.col("vec_id") % 10 == 0, k=5, shard_rows=90, block_rows=8)
@@ -135,3 +137,36 @@ def test_searches_of_nothing(spark):
     assert bitsliced.top_products(none, F.col("vec_id") % 2 == 0).count() == 0
     alone = spark.createDataFrame([(0, [1.0, 2.0], 0)], SCHEMA)
     assert vptree.nearest(alone, F.col("vec_id") % 2 == 0).count() == 0
+
+
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    rows = [(0, [1.0, 0.0], 0), (3, [2.0, 0.0], 0), (3, [5.0, 0.0], 0), (7, [4.0, 0.0], 0)] + [(9, [3.0, 0.0], 0)] * 4
+    df = spark.createDataFrame(rows, SCHEMA)
+    zero = F.col("vec_id") == 0
+    found = bitsliced.top_products(df, zero, k=5).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(3, 5 * 256 * 256), (7, 4 * 256 * 256)] + [(9, 3 * 256 * 256)] * 3
+    found = vptree.nearest(df, zero, k=3, relaxation=1.0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(3, 1.0), (9, 2.0), (9, 2.0)]
+    # own id is no candidate, whichever row of it asks; four equal rows ask, so the best pairs hold 3 four times
+    assert {r.vec_id for r in bitsliced.top_products(df, F.col("vec_id") == 9).collect()} == {3, 7}
+
+
+def test_wide_components_are_exact(spark):
+    big = float(2**21)
+    rows = [(i, [float(i % 7), -float(i % 5)], 0) for i in range(1, 60)]
+    rows += [(100, [big, 1.0], 0), (101, [float(2**40), 0.0], 0), (102, [-1e300, 1.0], 0), (0, [1.0, 0.5], 0), (50, [3.0 * 2**30, 1.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    exact = {i: [int(x) * 256 if abs(x) > 2**53 else math.floor(256 * x) for x in v] for i, v, _ in dict.fromkeys((r[0], tuple(r[1]), 0) for r in rows)}
+    for asked in (0, 50):
+        pool = sorted((-sum(a * b for a, b in zip(exact[asked], v)), i) for i, v in exact.items() if i != asked)[:5]
+        want = [(i, min(-s, 2**63 - 1)) for s, i in pool]
+        found = bitsliced.top_products(df, F.col("vec_id") == asked, shard_rows=20).orderBy("rank").collect()
+        assert [(r.vec_id, r.score) for r in found] == want, asked
+    # the row found by rank one of the query 0 has a component beyond 2**28
+    assert bitsliced.top_products(df, F.col("vec_id") == 0).orderBy("rank").first().vec_id == 101
+
+
+def test_blocks_are_sent_to_shards_once(spark, vectors):
+    """No shard is sent once per block: tiles hold as many queries as rows."""
+    plan = bitsliced.top_products(vectors, F.col("vec_id") % 10 == 0)._jdf.queryExecution().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and "Join" not in plan
