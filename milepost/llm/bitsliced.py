@@ -14,8 +14,8 @@ blocks of their own, and whatever meets them is multiplied in whole numbers of a
 
 Defined results: vectors that are null or hold a null or non-finite component take no part,
 neither do rows without id. All rows of a repeated id take part: none is a candidate of its
-own id, each is one of other ids. A score beyond 64 bits is shown as the nearest 64-bit
-number and ranks as such between shards. Vectors of different length never meet; those of
+own id, each is one of other ids. A score beyond 64 bits counts as the nearest 64-bit number.
+Vectors of different length never meet; those of
 length 0 score 0. A query with fewer than ``k`` candidates gets all of them.
 """
 
@@ -116,10 +116,11 @@ def search_wide(index: dict, ids: np.ndarray, queries: np.ndarray, k: int) -> tu
     owner, found, scores = [], [], []
     for place, (name, weights) in enumerate(zip(ids, queries.astype(object))):
         every = values.dot(weights) if values.shape[1] else np.zeros(len(own), object)
-        top = heapq.nsmallest(k, np.flatnonzero(own != name).tolist(), key=lambda i: (-every[i], own[i]))
+        every = np.clip(every, LEAST, LONGEST).astype(np.int64)
+        top = heapq.nsmallest(k, np.flatnonzero(own != name).tolist(), key=lambda i: (-int(every[i]), own[i]))
         owner += [place] * len(top)
         found += [int(own[i]) for i in top]
-        scores += [min(max(int(every[i]), LEAST), LONGEST) for i in top]
+        scores += [int(every[i]) for i in top]
     return np.array(owner, np.int64), np.array(found, np.int64), np.array(scores, np.int64)
 
 
