@@ -4,10 +4,10 @@ Equal windows of ``length`` bytes have the same anchor, so windows are dealt by
 independent suffix arrays. What is dealt are segments: runs of candidate windows with one
 anchor, each once per distinct content and task, with its least place. A task sorts all
 suffixes of its segments by prefix doubling up to ``length`` bytes; suffixes that agree on
-these are ordered by place. In that order the entry before a suffix is its previous smaller
-place and the next smaller one never agrees on ``length`` bytes, so a suffix has a longest
-previous factor of ``length`` or more exactly if the entry before it agrees. Suffixes
-without one are the first of their content; every other candidate is a later copy.
+these are ordered by place. The longest previous factor of a suffix is the longer one of what
+it shares with the nearest entry before it and the nearest one after it, in suffix order,
+whose places are smaller. A window whose factor has ``length`` bytes is a later copy and goes;
+the others are the first of their content and stay.
 
 Anchors with very many occurrences are dealt window by window, by a hash of the whole
 window, so no suffix array gets a group that grows with the corpus. Their list is broadcast;
@@ -111,6 +111,52 @@ def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarra
     return rank[starts]
 
 
+def shared_bytes(data: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> np.ndarray:
+    """Bytes, up to ``length``, that the windows at ``one`` and ``two`` share from their start on."""
+    windows = np.lib.stride_tricks.sliding_window_view(data, length)
+    out = np.empty(len(one), np.int64)
+    for i in range(0, len(one), 8_192):
+        differ = windows[one[i : i + 8_192]] != windows[two[i : i + 8_192]]
+        out[i : i + 8_192] = np.where(differ.any(1), differ.argmax(1), length)
+    return out
+
+
+def _nearest_smaller(places: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """What each entry shares with the nearest entry before it that has a smaller place, else 0.
+
+    ``common[i]`` is what entries ``i - 1`` and ``i`` share. Whatever lies between an entry and
+    its pointer has no smaller place, so a pointer to such an entry may follow that one's own.
+    """
+    before, least = np.arange(len(places)) - 1, common.copy()
+    todo = np.arange(len(places))
+    while True:
+        todo = todo[before[todo] >= 0]
+        todo = todo[places[before[todo]] >= places[todo]]
+        if not len(todo):
+            return np.where(before >= 0, least, 0)
+        step = before[todo]
+        least[todo], before[todo] = np.minimum(least[todo], least[step]), before[step]
+
+
+def previous_factors(data: np.ndarray, starts: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """Longest previous factor, up to ``length`` bytes, of each window.
+
+    That is the most that a window shares, from its start on, with one of a smaller place.
+    Equal places are no earlier than each other.
+    """
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    order = np.lexsort((places, suffix_ranks(data, starts, length)))
+    common = np.concatenate(([0], shared_bytes(data, starts[order[:-1]], starts[order[1:]], length)))
+    sorted_places = places[order]
+    after = np.concatenate((common[1:], [0]))
+    factors = np.empty(len(starts), np.int64)
+    factors[order] = np.maximum(
+        _nearest_smaller(sorted_places, common), _nearest_smaller(sorted_places[::-1], after[::-1])[::-1]
+    )
+    return factors
+
+
 def first_windows(table: pa.Table, length: int) -> pa.Table:
     """Runs of windows of the segments that have no longest previous factor of ``length``."""
     table = _least_places(table)
@@ -122,17 +168,14 @@ def first_windows(table: pa.Table, length: int) -> pa.Table:
     starts, owner = ranges(ends[:-1], counts), np.repeat(np.arange(len(counts)), counts)
     doc = table.column("doc_id").to_numpy()[owner]
     at = table.column("at").to_numpy()[owner] + starts - ends[owner]
-    rank = suffix_ranks(data, starts, length)
-    order = np.lexsort((at, doc, rank))
-    agree = np.concatenate(([False], np.diff(rank[order].astype(np.int64)) == 0))
-    # rows that repeat a document put equal places side by side; neither is earlier
-    head = np.maximum.accumulate(np.where(agree, 0, np.arange(len(order))))
-    later = (doc[order] != doc[order][head]) | (at[order] != at[order][head])
-    first = np.zeros(len(starts), bool)
-    first[order[~(agree & later)]] = True
-    places = np.flatnonzero(first)
-    breaks = np.concatenate(([True], np.diff(owner[places]) != 0)) if len(places) else np.zeros(0, bool)
-    runs, sizes = stretches(places, breaks)
+    order = np.lexsort((at, doc))
+    # rows that repeat a document have equal places; neither is earlier
+    new = (np.diff(doc[order]) != 0) | (np.diff(at[order]) != 0)
+    places = np.zeros(len(starts), np.int64)
+    places[order[1:]] = np.cumsum(new)
+    first = np.flatnonzero(previous_factors(data, starts, places, length) < length)
+    breaks = np.concatenate(([True], np.diff(owner[first]) != 0)) if len(first) else np.zeros(0, bool)
+    runs, sizes = stretches(first, breaks)
     return pa.table({"doc_id": doc[runs], "at": at[runs].astype(np.int32), "n": sizes.astype(np.int32)})
 
 

@@ -281,6 +281,24 @@ def test_repeats_empty(no_documents):
     assert suffixes.repeated_bytes(no_documents).count() == 0
 
 
+def test_previous_factors_value_by_value():
+    rng = np.random.default_rng(8)
+    for letters, size, length in ((1, 60, 12), (2, 300, 12), (3, 400, 100), (26, 200, 5), (2, 12, 12)):
+        data = rng.integers(97, 97 + letters, size).astype(np.uint8)
+        if letters > 1 and size > 200:
+            data[150:280] = data[10:140]
+        starts = np.arange(size - length + 1)
+        for places in (starts, rng.permutation(len(starts)), rng.integers(0, 1 + len(starts) // 3, len(starts))):
+            found = suffixes.previous_factors(data, starts, places, length)
+            raw = data.tobytes()
+            for i in starts:
+                shared = [
+                    next((n for n in range(length) if raw[i + n] != raw[j + n]), length) for j in starts if places[j] < places[i]
+                ]
+                assert found[i] == max(shared, default=0)
+    assert len(suffixes.previous_factors(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), 5)) == 0
+
+
 def test_suffix_ranks_against_sorting():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 99, 400).astype(np.uint8)
