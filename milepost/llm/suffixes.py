@@ -121,39 +121,46 @@ def shared_bytes(data: np.ndarray, one: np.ndarray, two: np.ndarray, length: int
     return out
 
 
-def _nearest_smaller(places: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """What each entry shares with the nearest entry before it that has a smaller place, else 0.
+def _previous_smaller_factors(places: list[int], common: list[int]) -> list[int]:
+    """Longest previous factors of entries in suffix order, in one pass over a stack.
 
-    ``common[i]`` is what entries ``i - 1`` and ``i`` share. Whatever lies between an entry and
-    its pointer has no smaller place, so a pointer to such an entry may follow that one's own.
+    ``common[i]`` is what entries ``i - 1`` and ``i`` share. The stack holds entries of rising
+    place: below an entry lies its previous smaller one, the entry that pops it is its next
+    smaller one. ``common`` of an entry on the stack is what it shares with the one below.
     """
-    before, least = np.arange(len(places)) - 1, common.copy()
-    todo = np.arange(len(places))
-    while True:
-        todo = todo[before[todo] >= 0]
-        todo = todo[places[before[todo]] >= places[todo]]
-        if not len(todo):
-            return np.where(before >= 0, least, 0)
-        step = before[todo]
-        least[todo], before[todo] = np.minimum(least[todo], least[step]), before[step]
+    factors, common, stack = [0] * len(places), [*common, 0], []
+    for i, place in enumerate([*places, -1]):
+        shared = common[i]
+        while stack and place < places[stack[-1]]:
+            top = stack.pop()
+            below = common[top]
+            factors[top] = below if below > shared else shared
+            if below < shared:
+                shared = below
+        common[i] = shared
+        stack.append(i)
+    return factors
 
 
 def previous_factors(data: np.ndarray, starts: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
     """Longest previous factor, up to ``length`` bytes, of each window.
 
-    That is the most that a window shares, from its start on, with one of a smaller place.
-    Equal places are no earlier than each other.
+    That is the most that a window shares, from its start on, with one of a smaller place
+    (0 or more). Windows that agree on ``length`` bytes go through the stack once, at their
+    least place; those at a later one share ``length`` bytes with it. Equal places are no
+    earlier than each other; windows of one place are expected to agree on all bytes.
     """
     if not len(starts):
         return np.zeros(0, np.int64)
-    order = np.lexsort((places, suffix_ranks(data, starts, length)))
-    common = np.concatenate(([0], shared_bytes(data, starts[order[:-1]], starts[order[1:]], length)))
-    sorted_places = places[order]
-    after = np.concatenate((common[1:], [0]))
+    rank = suffix_ranks(data, starts, length)
+    order = np.lexsort((places, rank))
+    heads = np.flatnonzero(np.concatenate(([True], np.diff(rank[order].astype(np.int64)) != 0)))
+    one = order[heads]
+    common = np.concatenate(([0], shared_bytes(data, starts[one[:-1]], starts[one[1:]], length)))
+    of_heads = np.array(_previous_smaller_factors(places[one].tolist(), common.tolist()), np.int64)
+    group = np.repeat(np.arange(len(heads)), np.diff(np.concatenate((heads, [len(order)]))))
     factors = np.empty(len(starts), np.int64)
-    factors[order] = np.maximum(
-        _nearest_smaller(sorted_places, common), _nearest_smaller(sorted_places[::-1], after[::-1])[::-1]
-    )
+    factors[order] = np.where(places[order] > places[one][group], length, of_heads[group])
     return factors
 
 
