@@ -989,4 +989,7 @@ def oracle_sql() -> dict[str, str]:
     # other ways to the same result
     found["append_indexed"] = found["silver_trips_incremental"]
     found["refresh_incremental"] = found["mv_driver_ranking"]
+    found["driver_safety_by_month"] = found["v_driver_safety_score_monthly"]
+    found["stream_newest"] = found["stream_bronze_silver"]
+    found["run_resumed"] = f"SELECT *, 1 AS silver_loads FROM ({found['conform_trips']})"
     return found

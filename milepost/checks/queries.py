@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types
@@ -20,12 +22,12 @@ from milepost.operators import joins as J
 from milepost.operators import quality as Q
 from milepost.operators import rollups as R
 from milepost.operators.windows import newest_row, top_rows, with_previous
-from milepost.plans import behaviour, economy, incremental, safety
+from milepost.plans import behaviour, economy, incremental, pipeline, safety
 from milepost.plans import silver as S
 from milepost.plans.marts import MARTS
 from milepost.schemas import BRONZE, FOREIGN_KEYS, PRIMARY_KEYS
 from milepost.session import shared_dir, write_once
-from milepost.sources import feeds
+from milepost.sources import facts, feeds
 from milepost.sources import key_index as index
 from milepost.sources import projection as T
 from milepost.sources import versions
@@ -37,6 +39,7 @@ from milepost.sources.silver import (
     read_keyed,
     write_partitions,
 )
+from milepost.streaming import newest
 from milepost.streaming.ingest import ingest, stream_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,30 +292,37 @@ STREAMED = (
 )
 
 
-def stream_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+STREAM_COLUMNS = (
+    "event_id", "vehicle_id", "scheme_id", "drive_id", "start_time", "start_location",
+    "end_location", "speed", PARTITION,
+)
+
+
+def _extracts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Two extracts per month, every tenth event corrected by the second one."""
     source = T.table(spark, sf_dir, "events")
     named = "concat('export_', substring(CAST(ts AS STRING), 1, 4), '_', substring(CAST(ts AS STRING), 6, 2), '_{}_events.csv') AS " + SOURCE_FILE
     first = source.selectExpr(*STREAMED, "'10' AS speed", named.format("01"))
     second = source.filter("event_id % 10 = 0").selectExpr(*STREAMED, "'20' AS speed", named.format("15"))
+    names = BRONZE["events"].names
+    missing = [F.lit(None).cast("string").alias(c) for c in names if c not in first.columns]
+    return [e.select("*", *missing).select(*names, SOURCE_FILE) for e in (first, second)]
+
+
+def stream_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both extracts ingested one after the other, then the newest row per event."""
     landing, cleaned = shared_dir(spark, "landing"), shared_dir(spark, "cleaned")
-    schema = BRONZE["events"]
-    for extract in (first, second):
-        missing = [F.lit(None).cast("string").alias(c) for c in schema.names if c not in extract.columns]
-        columns = [*schema.names, SOURCE_FILE]
-        feeds.write_csv_feed(extract.select("*", *missing).select(*columns), landing)
+    for extract in _extracts(spark, sf_dir):
+        feeds.write_csv_feed(extract, landing)
         ingest(
-            stream_bronze(spark, landing, schema),
+            stream_bronze(spark, landing, BRONZE["events"]),
             lambda batch: S.clean_events(batch, AS_OF),
             cleaned,
             f"{landing}-progress",
         )
     stored = spark.read.parquet(cleaned).drop("_batch")
     silver = D.latest_per_key(stored, ["event_id"], S.NEWEST)
-    return silver.select(
-        "event_id", "vehicle_id", "scheme_id", "drive_id", "start_time", "start_location",
-        "end_location", "speed", PARTITION,
-    )
+    return silver.select(*STREAM_COLUMNS)
 
 
 # --- operators --------------------------------------------------------------------------
@@ -532,6 +542,55 @@ def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MARTS["mv_driver_ranking"](incremental.with_rollups(fleet, f"{root}/rollups"), AS_OF)
 
 
+def run_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of the warehouse after a run that stopped for want of a feed and then went on.
+
+    ``silver_loads`` counts the loads of silver trips: the second run leaves them as they are.
+    """
+    bronze, out = shared_dir(spark, "run-bronze"), shared_dir(spark, "run-out")
+    for name in ("trips", "events", "schemes", "vehicles"):
+        feeds.write_csv_feed(feeds.feed(spark, sf_dir, name), f"{bronze}/{name}")
+    try:
+        pipeline.load_silver(spark, bronze, out, AS_OF, resume=True)
+        raise RuntimeError("the run went through without groups")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    feeds.write_csv_feed(feeds.feed(spark, sf_dir, "groups"), f"{bronze}/groups")
+    day = index.read_indexed(spark, f"{out}/silver/trips").agg(F.max(PARTITION)).first()[0]
+    named = F.lit(f"export_{day.year}_{day.month}_{day.day}_drivers.csv")
+    drivers = feeds.feed(spark, sf_dir, "drivers").withColumn(SOURCE_FILE, named)
+    feeds.write_csv_feed(drivers, f"{bronze}/drivers")
+    silver = pipeline.load_silver(spark, bronze, out, AS_OF, resume=True)
+    Q.require_checkpoint(spark, silver)
+    pipeline.load_warehouse(spark, silver, out, AS_OF, resume=True)
+    loads = versions.current(spark, f"{out}/silver/trips").number
+    return versions.read_version(spark, f"{out}/warehouse/t_trips").withColumn("silver_loads", F.lit(loads))
+
+
+def driver_safety_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two-month driver view over trips stored by month, of which it reads three at most."""
+    fleet = T.fleet(spark, sf_dir)
+    path = shared_dir(spark, "trips-by-month")
+    facts.store_by_month(fleet.trips, path, "end_drive")
+    stored = dataclasses.replace(fleet, trips=facts.read_by_month(spark, path))
+    return safety.v_driver_safety_score_monthly(stored, AS_OF)
+
+
+def stream_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extracts of ``stream_bronze_silver``, corrections first, and both brought a second time."""
+    first, second = _extracts(spark, sf_dir)
+    landing, changed = shared_dir(spark, "landing"), shared_dir(spark, "changed")
+    for extract in (second, first, first, second):
+        feeds.write_csv_feed(extract, landing)
+        newest.ingest_newest(
+            stream_bronze(spark, landing, BRONZE["events"]),
+            lambda batch: S.clean_events(batch, AS_OF),
+            ["event_id"], S.NEWEST, changed, f"{landing}-progress",
+        )
+    return newest.read_newest(spark, changed, ["event_id"], S.NEWEST).select(*STREAM_COLUMNS)
+
+
 def _registry() -> dict[str, Query]:
     silver = {
         "src_csv_bronze": src_csv_bronze,
@@ -572,6 +631,9 @@ def _registry() -> dict[str, Query]:
         "dq_foreign_key": dq_foreign_key,
         "dq_null_partition": dq_null_partition,
         "stream_bronze_silver": stream_bronze_silver,
+        "stream_newest": stream_newest,
+        "run_resumed": run_resumed,
+        "driver_safety_by_month": driver_safety_by_month,
     }
     operators = {
         "join_events_trips": join_events_trips,

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from milepost.operators.rollups import event_rollup, sightings, trip_rollup
 from milepost.plans import behaviour, economy, parameters, safety
 from milepost.schemas import Fleet
+from milepost.sources.fingerprints import is_finished
 from milepost.sources.versions import Load, expire, publish, read_version, version_folders
 
 # stored on every refresh
@@ -45,17 +46,22 @@ VIEWS = {
 MARTS = {**MATERIALIZED, **VIEWS}
 
 
-def store_rollups(spark: SparkSession, fleet: Fleet, out: str) -> Fleet:
+def store_rollups(
+    spark: SparkSession, fleet: Fleet, out: str, fingerprint: str = "", resume: bool = False
+) -> Fleet:
     """Store the rollups of the facts as one version and return a fleet that uses them.
 
-    One scan of the trips, one of the events and one join of both then serve all marts.
+    One scan of the trips, one of the events and one join of both then serve all marts. With
+    ``resume`` stored rollups with this fingerprint are used as they are.
     """
-    load = Load(spark, f"{out}/rollups")
-    load.write(trip_rollup(fleet), "trips")
-    load.write(event_rollup(fleet), "events")
-    load.write(sightings(fleet.events), "sightings")
-    load.commit()
-    expire(spark, f"{out}/rollups", keep=2)
+    if not (resume and is_finished(spark, f"{out}/rollups", fingerprint)):
+        load = Load(spark, f"{out}/rollups")
+        load.write(trip_rollup(fleet), "trips")
+        load.write(event_rollup(fleet), "events")
+        load.write(sightings(fleet.events), "sightings")
+        load.fingerprint = fingerprint
+        load.commit()
+        expire(spark, f"{out}/rollups", keep=2)
     trips, events, seen = (read_version(spark, f"{out}/rollups", s) for s in ("trips", "events", "sightings"))
     return dataclasses.replace(fleet, trip_rollup=trips, event_rollup=events, sightings=seen)
 
@@ -66,14 +72,20 @@ def refresh_marts(
     out: str,
     names: Iterable[str] = tuple(MATERIALIZED),
     as_of: dt.date | None = None,
+    fingerprint: str = "",
+    resume: bool = False,
 ) -> dict[str, str]:
-    """Publish the named marts below ``out`` and return the folders of their new versions."""
-    shared = store_rollups(spark, fleet, out)
-    paths = {}
-    for name in names:
-        publish(MARTS[name](shared, as_of), f"{out}/{name}")
-        (paths[name],) = version_folders(spark, f"{out}/{name}")
-    return paths
+    """Publish the named marts below ``out`` and return the folders of their current versions.
+
+    With ``resume`` marts that carry this fingerprint already are left as they are.
+    """
+    names = tuple(names)
+    left = [n for n in names if not (resume and is_finished(spark, f"{out}/{n}", fingerprint))]
+    if left:
+        shared = store_rollups(spark, fleet, out, fingerprint, resume)
+    for name in left:
+        publish(MARTS[name](shared, as_of), f"{out}/{name}", fingerprint=fingerprint)
+    return {name: version_folders(spark, f"{out}/{name}")[0] for name in names}
 
 
 def create_views(fleet: Fleet, names: Iterable[str] = tuple(VIEWS), as_of: dt.date | None = None) -> None:

@@ -16,6 +16,7 @@ from milepost.operators.rollups import trip_rows, trip_totals
 from milepost.operators.windows import newest_row, top_rows, with_previous, with_row_number
 from milepost.schemas import Fleet
 from milepost.session import write_once
+from milepost.sources.facts import since
 
 
 def _year() -> Column:
@@ -166,10 +167,10 @@ def driver_safety_months(fleet: Fleet, as_of: dt.date | None = None) -> DataFram
     """Safety per driver, group and month over the two months before the run date.
 
     The cut falls inside a month, so this reads trips and not the monthly rollup; the
-    bound is a constant and reaches the scan as a pushed filter.
+    bound is a constant and reaches the scan as a pushed filter. Of trips stored by month only
+    the folders of the months since then are read.
     """
-    since = F.add_months(as_date(as_of), -2).cast("timestamp_ntz")
-    recent = trip_rows(fleet.trips.filter(F.col("end_drive") >= since))
+    recent = trip_rows(since(fleet.trips, "end_drive", F.add_months(as_date(as_of), -2)))
     totals = recent.groupBy("vehicle_id", "driver_id", F.col("end_month").alias("ym")).agg(
         F.sum("points").alias("points"), F.sum("mileage").alias("mileage")
     )

@@ -87,7 +87,13 @@ def unseen_keys(
 
 
 def append_indexed(
-    spark: SparkSession, df: DataFrame, path: str, key: str, partition: str = PARTITION, origin: str | None = None
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    key: str,
+    partition: str = PARTITION,
+    origin: str | None = None,
+    fingerprint: str = "",
 ) -> int:
     """Append the rows of a feed whose key is not stored, as one new version; its number is returned.
 
@@ -109,10 +115,13 @@ def append_indexed(
     load.write(new, DATA, partition, "none")
     load.write(summarise_keys(new, key, partition), KEYS, None, "none")
     load.write(keyless.select(*arrived.columns), KEYLESS, partition, "dates", dates)
+    load.fingerprint = fingerprint
     return load.commit()
 
 
-def replace_indexed(spark: SparkSession, df: DataFrame, path: str, key: str, partition: str = PARTITION) -> int:
+def replace_indexed(
+    spark: SparkSession, df: DataFrame, path: str, key: str, partition: str = PARTITION, fingerprint: str = ""
+) -> int:
     """Replace the whole table by the rows of a feed."""
     arrived = write_once(df, "arrived")
     load = Load(spark, path)
@@ -120,6 +129,7 @@ def replace_indexed(spark: SparkSession, df: DataFrame, path: str, key: str, par
     load.write(keyed, DATA, partition)
     load.write(summarise_keys(keyed, key, partition), KEYS)
     load.write(arrived.where(F.col(key).isNull()), KEYLESS, partition)
+    load.fingerprint = fingerprint
     return load.commit()
 
 

@@ -133,24 +133,26 @@ def register_table(spark: SparkSession, name: str, path: str) -> None:
         spark.catalog.recoverPartitions(name)
 
 
-def register_version(spark: SparkSession, name: str, path: str, section: str = DATA) -> None:
+def register_version(
+    spark: SparkSession, name: str, path: str, section: str = DATA, partition: str = PARTITION
+) -> None:
     """Catalog table over a dated section of the current version of a table.
 
     Each folder becomes a partition by ``version`` and date, so that a query prunes dates. The
     table keeps showing this version until it is registered anew.
     """
     version = current(spark, path)
-    stored = read_version(spark, path, section, version)
+    stored = read_version(spark, path, section, version, layout=partition)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)
     spark.sql(
         f"CREATE TABLE {name} ({columns}, version STRING) USING parquet "
-        f"PARTITIONED BY (version, `{PARTITION}`) LOCATION '{path}/{section}'"
+        f"PARTITIONED BY (version, `{partition}`) LOCATION '{path}/{section}'"
     )
     parts = []
     for folder in version.folders[section]:
         load, date = (p.split("=", 1)[1] for p in folder.split("/"))
         value = "NULL" if date == NULL_DATE else f"DATE'{date}'"
-        parts.append(f"PARTITION (version='{load}', `{PARTITION}`={value}) LOCATION '{path}/{section}/{folder}'")
+        parts.append(f"PARTITION (version='{load}', `{partition}`={value}) LOCATION '{path}/{section}/{folder}'")
     for start in range(0, len(parts), 500):
         spark.sql(f"ALTER TABLE {name} ADD {' '.join(parts[start : start + 500])}")

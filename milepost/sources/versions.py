@@ -35,13 +35,16 @@ class ConcurrentLoad(Exception):
 class Version:
     """A committed state: folders and schema (as JSON) per section.
 
-    ``built_from`` names versions of other tables that this one was computed from.
+    ``built_from`` names versions of other tables that this one was computed from and
+    ``fingerprint`` stands for all inputs of a stage (see ``fingerprints``). Being part of the
+    manifest, it can never tell of a load that was not committed.
     """
 
     number: int
     folders: dict[str, list[str]] = field(default_factory=dict)
     schemas: dict[str, str] = field(default_factory=dict)
     built_from: dict[str, int] = field(default_factory=dict)
+    fingerprint: str = ""
 
 
 def _path(spark: SparkSession, path: str):
@@ -90,16 +93,20 @@ def read_version(
     section: str = DATA,
     version: Version | None = None,
     dates: Iterable | None = None,
+    layout: str | None = None,
 ) -> DataFrame | None:
     """A section of the current (or given) version, or None when it does not exist.
 
-    ``dates`` keeps the folders of these dates only; others are not even listed.
+    ``dates`` keeps the folders of these dates only; others are not even listed. ``layout`` names
+    the column that a hidden layout partitions by; it is read as a date, last of all columns.
     """
     version = version or current(spark, path)
     if version is None or section not in version.schemas:
         return None
     schema = T.StructType.fromJson(json.loads(version.schemas[section]))
     folders = version.folders[section]
+    if layout and layout not in schema.names:
+        schema = schema.add(layout, T.DateType())
     if dates is not None:
         wanted = {_date_name(d) for d in dates}
         folders = [f for f in folders if f.rsplit("=", 1)[-1] in wanted]
@@ -137,6 +144,7 @@ class Load:
         self.folders = dict(self.base.folders)
         self.schemas = dict(self.base.schemas)
         self.built_from = dict(self.base.built_from)
+        self.fingerprint = ""
 
     def write(
         self,
@@ -145,11 +153,13 @@ class Load:
         partition: str | None = None,
         replace: str = "all",
         dates: Iterable = (),
+        hidden: bool = False,
     ) -> None:
         """Write ``df``; of what is stored, ``replace`` (all, dates, none) goes.
 
         With ``dates`` the dates that ``df`` brings are replaced and those listed, which
-        may be empty in ``df``.
+        may be empty in ``df``. A ``hidden`` partition column lays out the folders only and is
+        no column of the table.
         """
         if replace not in ("all", "dates", "none"):
             raise ValueError(f"unknown replace: {replace}")
@@ -165,12 +175,13 @@ class Load:
             gone = {f.rsplit("=", 1)[-1] for f in new} | {_date_name(d) for d in dates}
             stored = [f for f in stored if f.rsplit("=", 1)[-1] not in gone]
         self.folders[section] = stored + new
-        self.schemas[section] = df.schema.json()
+        self.schemas[section] = (df.drop(partition) if hidden and partition else df).schema.json()
 
     def commit(self) -> int:
         """Make all that was written the current version; its number is returned."""
         number = self.base.number + 1
-        text = json.dumps(dataclasses.asdict(Version(number, self.folders, self.schemas, self.built_from)))
+        version = Version(number, self.folders, self.schemas, self.built_from, self.fingerprint)
+        text = json.dumps(dataclasses.asdict(version))
         written, store = _path(self.spark, f"{self.path}/{MANIFESTS}/.{self.folder}")
         stream = store.create(written, True)
         try:
@@ -191,10 +202,18 @@ class Load:
         return number
 
 
-def publish(df: DataFrame, path: str, partition: str | None = None, replace: str = "all") -> int:
+def publish(
+    df: DataFrame,
+    path: str,
+    partition: str | None = None,
+    replace: str = "all",
+    fingerprint: str = "",
+    hidden: bool = False,
+) -> int:
     """Write ``df`` as the next version of a table and make it current."""
     load = Load(df.sparkSession, path)
-    load.write(df, partition=partition, replace=replace)
+    load.write(df, partition=partition, replace=replace, hidden=hidden)
+    load.fingerprint = fingerprint
     return load.commit()
 
 

@@ -46,9 +46,9 @@ def ingest(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(clean(batch), batch_id, cleaned_path)
+        write_batch(clean(batch), batch_id, cleaned_path)
 
-    return _run(source, store, checkpoint)
+    return run_batches(source, store, checkpoint)
 
 
 def ingest_unseen(
@@ -68,12 +68,13 @@ def ingest_unseen(
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = clean(batch)
         append_unseen(batch.sparkSession, rows, silver_path, key)
-        _write_batch(rows.filter(F.col(key).isNull()), batch_id, streamed_path(silver_path))
+        write_batch(rows.filter(F.col(key).isNull()), batch_id, streamed_path(silver_path))
 
-    return _run(source, store, checkpoint)
+    return run_batches(source, store, checkpoint)
 
 
-def _write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+def write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    """Write the rows of a batch, replacing those of an earlier try."""
     (
         rows.withColumn(BATCH, F.lit(batch_id))
         .write.mode("overwrite")
@@ -83,9 +84,13 @@ def _write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
-def _run(source: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def run_batches(
+    source: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> StreamingQuery:
+    """Hand every batch that is due to ``store`` and stop."""
     query = (
         source.writeStream.foreachBatch(store)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
