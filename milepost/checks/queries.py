@@ -549,7 +549,7 @@ def run_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     bronze, out = shared_dir(spark, "run-bronze"), shared_dir(spark, "run-out")
     for name in ("trips", "events", "schemes", "vehicles"):
-        feeds.write_csv_feed(feeds.feed(spark, sf_dir, name), f"{bronze}/{name}")
+        feeds.write_csv_feed(feeds.feed(spark, sf_dir, name), f"{bronze}/{name}", gather=False)
     try:
         pipeline.load_silver(spark, bronze, out, AS_OF, resume=True)
         raise RuntimeError("the run went through without groups")

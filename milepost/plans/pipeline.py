@@ -16,7 +16,7 @@ from milepost.schemas import BRONZE, Fleet
 from milepost.session import build_session, shuffle_partitions
 from milepost.sources.bronze import SOURCE_FILE, read_bronze, read_checked
 from milepost.sources.reference import load_dictionary, load_parameters
-from milepost.sources.facts import MONTH, MONTHS, with_month
+from milepost.sources.facts import MONTH, MONTHS, lies_by_month, with_month
 from milepost.sources.fingerprints import fingerprint, is_finished, of_files, of_rows, of_version
 from milepost.sources.key_index import append_indexed, read_indexed, replace_indexed
 from milepost.sources.silver import PARTITION, register_table, register_version
@@ -106,7 +106,9 @@ def load_warehouse(
             df = build(silver[feed], as_of) if dated else build(silver[feed])
             if month:
                 df = with_month(df, MONTHS[name])
-            publish(df, path, month, fingerprint=mark, hidden=True)
+            # silver lies by source date: where that follows the month, rows stay with their task
+            gather = not (month and lies_by_month(df, PARTITION))
+            publish(df, path, month, fingerprint=mark, hidden=True, gather=gather)
         tables[name] = read_version(spark, path, layout=month)
     return tables
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 DEFAULTS = {
     # Wall-clock timestamps and a fixed zone: results do not depend on the host.
@@ -36,6 +39,11 @@ def shuffle_partitions(bytes_shuffled: int, at_least: int = 200) -> int:
     return max(at_least, -(-bytes_shuffled // SHUFFLE_BYTES_PER_TASK))
 
 
+def partitions_of_rows(spark: SparkSession, rows: int, rows_per_task: int = 1_000_000) -> int:
+    """Shuffle partitions, the session's at least, that keep a task near so many rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_task))
+
+
 def build_session(app_name: str = "milepost", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the package defaults; keyword options use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
@@ -67,13 +75,24 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{parent}/data"
 
 
+@contextmanager
+def files_at_once(spark: SparkSession, number: int) -> Iterator[None]:
+    """Let a task write up to so many files side by side; beyond them it sorts its rows by file."""
+    before = spark.conf.get(WRITERS)
+    spark.conf.set(WRITERS, number)
+    try:
+        yield
+    finally:
+        spark.conf.set(WRITERS, before)
+
+
 def write_once(df: DataFrame, purpose: str) -> DataFrame:
-    """Store ``df`` as Parquet in the shared folder and read it back.
+    """Store ``df`` as Parquet, packed hard, in the shared folder and read it back.
 
     Cuts the lineage with files that outlive executors, so that every later
     branch sees the very same rows and the facts are not read again.
     """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from milepost.sources.versions import publish, read_version
 MONTH = "p_month"
 # the time that places a row of each fact table
 MONTHS = {"t_trips": "end_drive", "t_events": "start_time"}
+MONTHS_PER_FOLDER = 4
 
 
 def with_month(df: DataFrame, time: str) -> DataFrame:
@@ -17,6 +18,18 @@ def with_month(df: DataFrame, time: str) -> DataFrame:
     return df.withColumn(MONTH, F.trunc(F.col(time), "month"))
 
 
+def lies_by_month(df: DataFrame, folder: str) -> bool:
+    """Whether rows stored by ``folder`` lie near enough by month to be written where they are read.
+
+    A task writes a file for each month that its folders hold. Weighed by their rows, folders with
+    up to ``MONTHS_PER_FOLDER`` months leave few files; others have to be shuffled by month.
+    """
+    cells = df.groupBy(folder, MONTH).agg(F.count(F.lit(1)).alias("n"))
+    folders = cells.groupBy(folder).agg(F.count(F.lit(1)).alias("months"), F.sum("n").alias("n"))
+    found = folders.agg(F.sum(F.col("months") * F.col("n")) / F.sum("n")).first()[0]
+    return found is None or found <= MONTHS_PER_FOLDER
+
+
 def store_by_month(df: DataFrame, path: str, time: str) -> int:
     """Publish a fact table laid out by month; the month is no column of the table itself."""
     return publish(with_month(df, time), path, MONTH, hidden=True)

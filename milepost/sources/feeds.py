@@ -11,9 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from milepost.constants import SAFETY_COUNTERS
+from milepost.session import files_at_once
 from milepost.sources.bronze import SOURCE_FILE
 from milepost.sources.projection import table
 
+FILES_AT_ONCE = 128
+
 
 def _text(expression: str) -> str:
     return f"CAST({expression} AS STRING)"
@@ -204,16 +207,24 @@ def feed_sql(name: str) -> str:
     return f"SELECT {', '.join(f'{e} AS {c}' for c, e in columns.items())} FROM {source}"
 
 
-def write_csv_feed(df: DataFrame, path: str) -> None:
-    """Write a feed as headered CSV, one folder per source file name."""
-    (
-        df.withColumnRenamed(SOURCE_FILE, "file")
-        .hint("rebalance", "file")
+def write_csv_feed(df: DataFrame, path: str, gather: bool = True) -> None:
+    """Write a feed as headered and packed CSV, one folder per source file name.
+
+    Unless the rows of a file are to be gathered first, each task writes its own part of every
+    file: the texts, far wider than what they are made of, are then not shuffled.
+    """
+    named = df.withColumnRenamed(SOURCE_FILE, "file")
+    writer = (
+        (named.hint("rebalance", "file") if gather else named)
         .write.mode("append")
+        .option("compression", "gzip")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("emptyValue", "")
         .partitionBy("file")
-        .csv(path)
     )
+    if gather:
+        return writer.csv(path)
+    with files_at_once(df.sparkSession, FILES_AT_ONCE):
+        writer.csv(path)

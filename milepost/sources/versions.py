@@ -23,7 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from milepost.session import files_at_once
+
 DATA, MANIFESTS = "data", "manifests"
+FILES_AT_ONCE = 16
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -154,21 +157,26 @@ class Load:
         replace: str = "all",
         dates: Iterable = (),
         hidden: bool = False,
+        gather: bool = True,
     ) -> None:
         """Write ``df``; of what is stored, ``replace`` (all, dates, none) goes.
 
         With ``dates`` the dates that ``df`` brings are replaced and those listed, which
         may be empty in ``df``. A ``hidden`` partition column lays out the folders only and is
-        no column of the table.
+        no column of the table. Rows that lie by partition already need not be gathered
+        (``gather``), which shuffles them.
         """
         if replace not in ("all", "dates", "none"):
             raise ValueError(f"unknown replace: {replace}")
         target = f"{self.path}/{section}/{self.folder}"
         if partition:
-            df.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(target)
+            gathered = df.hint("rebalance", F.col(partition)) if gather else df
+            writer = gathered.write.option("compression", "zstd").partitionBy(partition)
+            with files_at_once(self.spark, 0 if gather else FILES_AT_ONCE):
+                writer.parquet(target)
             new = [f"{self.folder}/{n}" for n in _names(self.spark, target) if "=" in n]
         else:
-            df.write.parquet(target)
+            df.write.option("compression", "zstd").parquet(target)
             new = [self.folder]
         stored = self.folders.get(section, []) if replace != "all" else []
         if replace == "dates":
@@ -177,6 +185,11 @@ class Load:
         self.folders[section] = stored + new
         self.schemas[section] = (df.drop(partition) if hidden and partition else df).schema.json()
 
+    def written(self, section: str = DATA) -> DataFrame:
+        """What this load wrote to a section, of which readers know nothing yet."""
+        mine = [f for f in self.folders[section] if f.split("/")[0] == self.folder]
+        return read_version(self.spark, self.path, section, Version(0, {section: mine}, self.schemas))
+
     def commit(self) -> int:
         """Make all that was written the current version; its number is returned."""
         number = self.base.number + 1
@@ -209,10 +222,11 @@ def publish(
     replace: str = "all",
     fingerprint: str = "",
     hidden: bool = False,
+    gather: bool = True,
 ) -> int:
     """Write ``df`` as the next version of a table and make it current."""
     load = Load(df.sparkSession, path)
-    load.write(df, partition=partition, replace=replace, hidden=hidden)
+    load.write(df, partition=partition, replace=replace, hidden=hidden, gather=gather)
     load.fingerprint = fingerprint
     return load.commit()
 

@@ -15,7 +15,7 @@ from milepost.schemas import BRONZE
 from milepost.sources import facts, feeds
 from milepost.sources import fingerprints as P
 from milepost.sources import projection as T
-from milepost.sources.bronze import SOURCE_FILE
+from milepost.sources.bronze import SOURCE_FILE, read_bronze
 from milepost.sources.silver import PARTITION
 from milepost.sources.versions import current, publish, read_version
 from milepost.streaming.ingest import stream_bronze
@@ -181,3 +181,29 @@ def test_files_out_of_order_and_a_replay(spark, tmp_path):
     batch = S.silver_events(spark.read.schema(BRONZE["events"]).option("header", True).option(
         "recursiveFileLookup", True).csv(landing).withColumn(SOURCE_FILE, F.input_file_name()), AS_OF)
     assert {r.event_id: r.speed for r in batch.collect()} == expected
+
+
+def test_feeds_are_packed_and_need_no_shuffle(spark, small, tmp_path):
+    feed = feeds.feed(spark, small, "trips")
+    found = []
+    for gather in (True, False):
+        path = str(tmp_path / str(gather))
+        feeds.write_csv_feed(feed, path, gather)
+        assert all(p.name.endswith(".csv.gz") for p in Path(path).rglob("part-*"))
+        found.append(rows(S.clean_trips(read_bronze(spark, path, BRONZE["trips"])).drop(SOURCE_FILE)))
+    assert found[0] == found[1] and len(found[0]) == feed.count()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_rows_near_their_month_are_written_where_they_are_read(spark, tmp_path):
+    """Folders of few months are not shuffled by month; one folder with all months is."""
+    days = spark.range(720).select("id", F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("id").cast("int")).alias("day"))
+    near = facts.with_month(days.withColumn(PARTITION, F.trunc("day", "quarter")), "day")
+    mixed = facts.with_month(days.withColumn(PARTITION, F.lit(dt.date(2024, 1, 1))), "day")
+    assert facts.lies_by_month(near, PARTITION) and not facts.lies_by_month(mixed, PARTITION)
+    assert facts.lies_by_month(near.limit(0), PARTITION)
+    for df, gather in ((near, False), (mixed, True)):
+        path = str(tmp_path / str(gather))
+        publish(df, path, facts.MONTH, hidden=True, gather=gather)
+        stored = facts.read_by_month(spark, path)
+        assert rows(stored.select(*df.columns)) == rows(df)
