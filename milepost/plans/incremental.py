@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,20 +25,21 @@ from pyspark.sql import functions as F
 from milepost.operators.rollups import EVENT_KEYS, TRIP_KEYS, TRIP_MEASURES, add_up, event_trip_rows, sightings, trip_rows
 from milepost.plans.marts import MARTS, MATERIALIZED
 from milepost.schemas import Fleet
-from milepost.session import write_once
-from milepost.sources.key_index import KEYS, dates_that_may_hold, summarise_keys
+from milepost.session import partitions_of_rows
+from milepost.sources.key_index import KEYS, dates_that_may_hold, summarise_keys, with_parts
 from milepost.sources.silver import PARTITION
 from milepost.sources.versions import DATA, Load, changed_dates, current, publish, read_version, version_folders, versions
 
 TRIPS, EVENTS, SIGHTINGS = "trips", "events", "sightings"
+SEEN_KEYS = ("vehicle_id", "scheme_id")
+PART, PARTS, ROWS_PER_PART = "_part", "_parts", 500_000
 
 
 def load_fact(rows: DataFrame, path: str, dates: Iterable[dt.date | None] = ()) -> int:
     """Replace the dates that ``rows`` bring, and the listed ones, with their drive index."""
     load = Load(rows.sparkSession, path)
-    arrived = write_once(rows, "fact-load")
-    load.write(arrived, DATA, PARTITION, "dates", dates)
-    load.write(summarise_keys(arrived, "drive_id"), KEYS, PARTITION, "dates", dates)
+    load.write(rows, DATA, PARTITION, "dates", dates)
+    load.write(summarise_keys(load.written(DATA), "drive_id"), KEYS, PARTITION, "dates", dates)
     return load.commit()
 
 
@@ -48,6 +49,12 @@ def _changes(spark: SparkSession, path: str, since: int | None) -> list[dt.date
     return changed_dates(current(spark, path, since) if known else None, current(spark, path))
 
 
+def _placed(rows: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
+    """Rows shuffled once by date and part, as their sums are both formed and written."""
+    part = F.pmod(F.xxhash64(*keys), F.col(PARTS).cast("long")).cast("int")
+    return rows.withColumn(PART, part).drop(PARTS).repartition(partitions, PARTITION, PART)
+
+
 def refresh_rollups(spark: SparkSession, trips: str, events: str, out: str) -> dict[str, list[dt.date | None]]:
     """Bring the rollups at ``out`` up to the current facts at ``trips`` and ``events``.
 
@@ -64,15 +71,21 @@ def refresh_rollups(spark: SparkSession, trips: str, events: str, out: str) -> d
         touched = dates_that_may_hold(read_version(spark, events, KEYS), moved, "drive_id")
         event_dates = sorted({*event_dates, *touched}, key=str)
     counted = read_version(spark, events, dates=event_dates)
-    needed = dates_that_may_hold(read_version(spark, trips, KEYS), counted, "drive_id")
-    of_events = event_trip_rows(counted, read_version(spark, trips, dates=needed), extra=[PARTITION])
+    # the first refresh counts all events, for which it reads all trips
+    needed = dates_that_may_hold(read_version(spark, trips, KEYS), counted, "drive_id") if since else trip_dates
+    sized = with_parts(counted, PARTITION, ROWS_PER_PART, PARTS)
+    joined = event_trip_rows(sized, read_version(spark, trips, dates=needed), extra=[PARTITION, PARTS])
+    n_trips, n_events = (partitions_of_rows(spark, rows.count(), ROWS_PER_PART) for rows in (changed_trips, counted))
+    of_events = _placed(joined, EVENT_KEYS, n_events)
+    of_trips = _placed(trip_rows(with_parts(changed_trips, PARTITION, ROWS_PER_PART, PARTS), PARTITION, PARTS), TRIP_KEYS, n_trips)
+    seen = _placed(sized.select(PARTITION, PARTS, *SEEN_KEYS, "start_time"), SEEN_KEYS, n_events)
     parts = {
-        TRIPS: (add_up(trip_rows(changed_trips, PARTITION), (PARTITION, *TRIP_KEYS), TRIP_MEASURES), trip_dates),
-        EVENTS: (of_events.groupBy(PARTITION, *EVENT_KEYS).agg(F.count(F.lit(1)).alias("n")), event_dates),
-        SIGHTINGS: (sightings(counted, PARTITION), event_dates),
+        TRIPS: (add_up(of_trips, (PARTITION, PART, *TRIP_KEYS), TRIP_MEASURES), trip_dates),
+        EVENTS: (of_events.groupBy(PARTITION, PART, *EVENT_KEYS).agg(F.count(F.lit(1)).alias("n")), event_dates),
+        SIGHTINGS: (sightings(seen, PARTITION, PART), event_dates),
     }
     for section, (rows, dates) in parts.items():
-        load.write(rows, section, PARTITION, "dates" if since else "all", dates)
+        load.write(rows.drop(PART), section, PARTITION, "dates" if since else "all", dates, gather=False)
     load.built_from = {TRIPS: current(spark, trips).number, EVENTS: current(spark, events).number}
     load.commit()
     return {TRIPS: sorted({*trip_dates, *needed}, key=str), EVENTS: event_dates}

@@ -28,18 +28,30 @@ def _spot(key: Column, probe: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(probe)), F.lit(BITS))
 
 
+def with_parts(rows: DataFrame, date: str, rows_per_part: int, parts: str) -> DataFrame:
+    """Rows with the number of parts that their date is worth, for parts of about so many rows.
+
+    ``rows`` are stored ones, as they are read twice. The sizes have a row per date, so they are
+    sent to the rows and not the other way round.
+    """
+    number = F.ceil(F.count(F.lit(1)) / rows_per_part).cast("int").alias(parts)
+    sizes = rows.groupBy(F.col(date).alias("_of")).agg(number)
+    return rows.join(F.broadcast(sizes), F.col(date).eqNullSafe(F.col("_of"))).drop("_of")
+
+
 def summarise_keys(rows: DataFrame, key: str, partition: str = PARTITION) -> DataFrame:
     """Blocks of the keys of each date: ``partition, block, blocks, low, high, bits``.
 
     A date with very many keys has as many blocks, so that no row grows and no group is hot.
     """
     keys = rows.where(F.col(key).isNotNull()).select(F.col(partition).alias("_date"), F.col(key).alias("_key"))
-    sizes = keys.groupBy("_date").agg(F.ceil(F.count(F.lit(1)) / KEYS_PER_BLOCK).cast("int").alias("blocks"))
-    sized = keys.join(sizes.withColumnRenamed("_date", "_of"), F.col("_date").eqNullSafe(F.col("_of"))).drop("_of")
+    sized = with_parts(keys, "_date", KEYS_PER_BLOCK, "blocks")
     placed = sized.withColumn("block", F.pmod(F.xxhash64("_key"), F.col("blocks").cast("long")).cast("int"))
+    # keys are shuffled and not the bits: before that, each task has a few keys of every block
+    of_block = placed.repartition("_date", "block")
     spots = F.explode(F.array(*[_spot(F.col("_key"), i) for i in range(PROBES)]))
     return (
-        placed.select("_date", "block", "blocks", "_key", spots.alias("_spot"))
+        of_block.select("_date", "block", "blocks", "_key", spots.alias("_spot"))
         .groupBy("_date", "block", "blocks")
         .agg(F.min("_key").alias("low"), F.max("_key").alias("high"), F.bitmap_construct_agg("_spot").alias("bits"))
         .withColumnRenamed("_date", partition)
@@ -65,13 +77,14 @@ def dates_that_may_hold(index: DataFrame, arriving: DataFrame, key: str, partiti
 
     The dates come to the driver, which has to list their folders anyway.
     """
-    keys = arriving.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct()
-    facts = keys.agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("least"), F.max("_key").alias("most")).first()
-    if not facts.n:
+    keys = arriving.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"))
+    facts = keys.agg(F.approx_count_distinct("_key").alias("n"), F.min("_key").alias("least"), F.max("_key").alias("most")).first()
+    if facts.least is None:
         return []
     overlapping = index.where((F.col("low") <= F.lit(facts.most)) & (F.col("high") >= F.lit(facts.least)))
-    if facts.n <= TESTED_KEYS:
-        listed = keys.agg(F.collect_list("_key")).scalar()
+    # only keys that are few are told apart, for which they have to be shuffled
+    if facts.n <= 2 * TESTED_KEYS and (few := keys.distinct()).limit(TESTED_KEYS + 1).count() <= TESTED_KEYS:
+        listed = few.agg(F.collect_list("_key")).scalar()
         overlapping = overlapping.withColumn("_keys", listed).where(F.exists("_keys", _may_hold))
     return [r[0] for r in overlapping.select(partition).distinct().collect()]
 

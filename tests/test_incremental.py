@@ -2,6 +2,7 @@
 
 import dataclasses
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,16 @@ from milepost.sources.silver import PARTITION
 from tests.conftest import rows
 
 
+TRIP_NUMBERS = (
+    "mileage", "energy_used", "turn1", "turn2", "turn3", "break1", "break2", "break3", "acceleration1", "acceleration2",
+    "acceleration3", "speed_road1", "speed_road2", "speed_road3", "engine", "gearbox", "idle_duration",
+)
+
+
+def shared(spark):
+    return [p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()]
+
+
 def by_quarter(df, column):
     return df.withColumn(PARTITION, F.trunc(F.col(column), "quarter"))
 
@@ -83,3 +94,28 @@ def test_all_dates_are_read_when_the_version_before_is_gone(spark, refreshed):
     assert read["trips"] == sorted(V.changed_dates(None, V.current(spark, f"{root}/trips")), key=str)
     shared = I.with_rollups(full, f"{root}/marts/rollups")
     assert comparable(MARTS["mv_fleet_safety_monthly"](shared, AS_OF)) == comparable(MARTS["mv_fleet_safety_monthly"](full, AS_OF))
+
+
+def test_facts_are_stored_once_and_rollups_lie_by_date(spark, tmp_path, monkeypatch):
+    """Loads keep no copy beside the table; a date of a rollup has no more files than its rows are worth."""
+    monkeypatch.setattr(I, "ROWS_PER_PART", 100)
+    day = F.date_add(F.lit(dt.date(2026, 1, 1)), (F.col("id") % 3).cast("int"))
+    stamp = day.cast("timestamp_ntz")
+    base = spark.range(1500)
+    trips = base.select(
+        F.col("id").alias("drive_id"), (F.col("id") % 7).alias("vehicle_id"), (F.col("id") % 50).alias("driver_id"),
+        stamp.alias("start_drive"), stamp.alias("end_drive"),
+        *[F.lit(1).alias(c) for c in TRIP_NUMBERS], F.when(F.col("id") % 100 != 5, day).alias(PARTITION))
+    events = base.select(
+        (F.col("id") % 400).alias("drive_id"), (F.col("id") % 7).alias("vehicle_id"), F.lit(3).alias("scheme_id"),
+        stamp.alias("start_time"), day.alias(PARTITION))
+    before = set(shared(spark))
+    I.load_fact(trips, f"{tmp_path}/trips")
+    I.load_fact(events, f"{tmp_path}/events")
+    assert set(shared(spark)) == before
+    I.refresh_rollups(spark, f"{tmp_path}/trips", f"{tmp_path}/events", f"{tmp_path}/rollups")
+    stored = {s: V.read_version(spark, f"{tmp_path}/rollups", s) for s in (I.TRIPS, I.EVENTS, I.SIGHTINGS)}
+    assert stored[I.TRIPS].agg(F.sum("points")).first()[0] is not None
+    assert stored[I.EVENTS].agg(F.sum("n")).first()[0] == 1500
+    assert rows(stored[I.SIGHTINGS]) == rows(I.sightings(events, PARTITION).select(*stored[I.SIGHTINGS].columns))
+    assert all(len(df.inputFiles()) <= 4 * 5 for df in stored.values())

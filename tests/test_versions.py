@@ -1,6 +1,7 @@
 """Atomic versions, retention and the keyed append over a key index."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from milepost.sources import key_index as K
 from milepost.sources import versions as V
 from milepost.sources.silver import PARTITION
 from tests.conftest import rows
+from tests.test_plans import plan
 
 
 def dated(spark, data, columns="drive_id long, v string"):
@@ -100,6 +102,13 @@ def test_index_finds_every_stored_key(spark):
     assert len(every) == 4
 
 
+def test_keys_are_shuffled_and_not_the_bits_of_their_blocks(spark):
+    """A task holds a few keys of every block: its bits would be as many times the index."""
+    text = plan(K.summarise_keys(keys_by_day(spark, 4), "drive_id"), "formatted")
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning\(_date\S+, block", text)
+    assert shuffled and not any("buf" in columns for columns in shuffled)
+
+
 def test_filter_tells_absent_keys_inside_the_bounds(spark):
     even = keys_by_day(spark, 3).withColumn("drive_id", F.col("drive_id") * 2)
     index = K.summarise_keys(even, "drive_id")
