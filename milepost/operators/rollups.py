@@ -36,7 +36,7 @@ MONTH_OF = {
 OF_TRIP = ("driver_id", "trip_month")  # rollup columns of an event that its trip provides
 
 
-def _known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def known_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for column in columns:
         df = df.filter(F.col(column).isNotNull())
     return df
@@ -44,7 +44,7 @@ def _known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _known_raw(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Raw facts with all of the rollup columns set."""
-    return _known(df, [MONTH_OF.get(c, c) for c in columns])
+    return known_rows(df, [MONTH_OF.get(c, c) for c in columns])
 
 
 def trip_rows(trips: DataFrame, *extra: str) -> DataFrame:
@@ -83,7 +83,7 @@ def trip_totals(
 ) -> DataFrame:
     """Trip measures per ``keys`` over the rows where all ``known`` columns are set."""
     if fleet.trip_rollup is not None:
-        rows = _known(fleet.trip_rollup, known)
+        rows = known_rows(fleet.trip_rollup, known)
     else:
         rows = trip_rows(_known_raw(fleet.trips, known))
     return add_up(rows, keys, measures)
@@ -127,7 +127,7 @@ def event_counts(
     schemes it does not list are left out.
     """
     if fleet.event_rollup is not None:
-        rows, count = _known(fleet.event_rollup, known), F.sum("n")
+        rows, count = known_rows(fleet.event_rollup, known), F.sum("n")
     else:
         rows = event_trip_rows(
             _known_raw(fleet.events, [c for c in known if c not in OF_TRIP]),

@@ -11,13 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from milepost.constants import HEALTH_WEIGHTS, PEDAL_WORD, SCORE_ECONOMY, SCORE_SAFETY, UNNAMED_DRIVER
+from milepost.constants import (
+    HEALTH_WEIGHTS,
+    PEDAL_ISSUES,
+    PEDAL_OTHER,
+    PEDAL_WORD,
+    SCORE_ECONOMY,
+    SCORE_SAFETY,
+    UNNAMED_DRIVER,
+)
 from milepost.functions import metrics as M
 from milepost.functions.text import component, driving_error, pedal_issue
 from milepost.operators import joins as J
-from milepost.operators.rollups import event_counts, sightings
+from milepost.operators.rollups import event_counts, event_trip_rows, known_rows, sightings
 from milepost.operators.windows import top_rows
 from milepost.schemas import Fleet
+from milepost.session import partitions_of_rows
 
 
 def error_labels(fleet: Fleet) -> DataFrame:
@@ -88,38 +97,67 @@ def mv_driver_top_offenders(fleet: Fleet, as_of: dt.date | None = None, k: int =
     return top.withColumn("ranking_parametro", F.col("ranking_parametro").cast("bigint"))
 
 
-def pedal_labels(fleet: Fleet) -> DataFrame:
-    """Schemes about a pedal with their issue and its parameters, if any."""
-    pedal = fleet.schemes.filter(F.lower("description").contains(PEDAL_WORD)).select(
-        "scheme_id", pedal_issue(F.col("description")).alias("parametro")
-    )
-    return pedal.join(
-        fleet.parameters.select("parametro", "categoria", "peso_impacto", "acao_recomendada_final"),
-        "parametro", "left",
-    )
+# position in this list stands for an issue until its texts are joined
+PEDAL_LABELS = [label for _, label in PEDAL_ISSUES] + [PEDAL_OTHER]
+
+
+def pedal_schemes(fleet: Fleet) -> DataFrame:
+    """Schemes about a pedal with the number of their issue; ``rows`` counts repeated ones."""
+    issue = F.array_position(F.array(*[F.lit(x) for x in PEDAL_LABELS]), pedal_issue(F.col("description")))
+    pedal = fleet.schemes.filter(F.lower("description").contains(PEDAL_WORD))
+    return pedal.groupBy("scheme_id", issue.cast("int").alias("issue")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def pedal_issues(fleet: Fleet) -> DataFrame:
+    """Issues by number with their parameters, if any; ``texts`` counts repeated ones."""
+    label = ["categoria", "peso_impacto", "acao_recomendada_final"]
+    known = fleet.parameters.filter(F.col("parametro").isin(*PEDAL_LABELS))
+    parameters = known.groupBy("parametro", *label).agg(F.count(F.lit(1)).alias("texts"))
+    numbers = fleet.schemes.sparkSession.createDataFrame(list(enumerate(PEDAL_LABELS, 1)), "issue int, parametro string")
+    found = numbers.join(parameters, "parametro", "left")
+    return found.withColumn("texts", F.coalesce("texts", F.lit(1)))
+
+
+def group_names(fleet: Fleet) -> DataFrame:
+    """Group names by numbers: the least id of each, and ``twin`` among the names that share it."""
+    known = fleet.groups.filter(F.col("group_name").isNotNull())
+    names = known.groupBy("group_name").agg(F.min("group_id").alias("named"))
+    twin = F.row_number().over(W.partitionBy("named").orderBy("group_name"))
+    return names.withColumn("twin", twin)
 
 
 def mv_pedal_events(fleet: Fleet, as_of: dt.date | None = None) -> DataFrame:
-    """Pedal events per driver, group of the event's vehicle, issue and event month."""
-    label = ["parametro", "categoria", "peso_impacto", "acao_recomendada_final"]
-    counts = event_counts(
-        fleet, ["driver_id", "vehicle_id", "event_month", *label], pedal_labels(fleet),
-        ["driver_id", "vehicle_id"],
-    )
-    placed = J.with_group(J.with_vehicle(counts, fleet), fleet, how="left")
-    keys = ["driver_id", "group_name", "event_month", *label]
-    per_driver = placed.groupBy(*keys).agg(F.sum("n").alias("n"))
-    return (
-        J.with_driver(per_driver, fleet)
-        .groupBy("driver_name", *keys)
-        .agg(F.sum("n").alias("qtd_eventos"))
-        .select(
-            "driver_id", "driver_name", "group_name", *label,
-            F.year("event_month").alias("year"),
-            F.month("event_month").alias("month"),
-            "qtd_eventos",
-            (F.col("qtd_eventos") * F.col("peso_impacto")).alias("impacto_total"),
-        )
+    """Pedal events per driver, group of the event's vehicle, issue and event month.
+
+    Events are counted by numbers alone, of which a task holds a bounded number of rows. Names and
+    texts meet the counts; what a dimension repeats is counted as often.
+    """
+    schemes, names = pedal_schemes(fleet), group_names(fleet)
+    known = ["driver_id", "vehicle_id"]
+    if fleet.event_rollup is not None:
+        stored = fleet.event_rollup
+        rows = known_rows(stored, known).select(*known, "event_month", "scheme_id", "n").join(schemes, "scheme_id")
+    else:
+        stored = fleet.events
+        of_issue = known_rows(fleet.events, ["vehicle_id"]).join(schemes, "scheme_id")
+        rows = event_trip_rows(of_issue, known_rows(fleet.trips, ["driver_id"]), extra=["issue", "rows"])
+        rows = rows.withColumn("n", F.lit(1))
+    placed = J.with_group(fleet.vehicles.select("vehicle_id", "group_id"), fleet, how="left").join(names, "group_name", "left")
+    places = placed.groupBy("vehicle_id", "named", "twin").agg(F.count(F.lit(1)).alias("places"))
+    keys = ["driver_id", "named", "twin", "event_month", "issue"]
+    counted = rows.join(places, "vehicle_id").select(*keys, (F.col("n") * F.col("rows") * F.col("places")).alias("n"))
+    tasks = partitions_of_rows(fleet.events.sparkSession, stored.count())
+    counts = counted.repartition(tasks, *keys).groupBy(*keys).agg(F.sum("n").alias("n"))
+    drivers = fleet.drivers.groupBy("driver_id", "driver_name").agg(F.count(F.lit(1)).alias("drivers"))
+    named = counts.join(drivers, "driver_id").join(names, ["named", "twin"], "left").join(pedal_issues(fleet), "issue")
+    events = F.col("n") * F.col("drivers") * F.col("texts")
+    return named.withColumn("qtd_eventos", events).select(
+        "driver_id", "driver_name", "group_name",
+        "parametro", "categoria", "peso_impacto", "acao_recomendada_final",
+        F.year("event_month").alias("year"),
+        F.month("event_month").alias("month"),
+        "qtd_eventos",
+        (F.col("qtd_eventos") * F.col("peso_impacto")).alias("impacto_total"),
     )
 
 

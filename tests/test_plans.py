@@ -1,15 +1,20 @@
 """Properties of the physical plans."""
 
+import dataclasses
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from milepost.functions.text import pedal_issue
 from milepost.operators.dedup import latest_per_key
+from milepost.operators.rollups import event_rollup
 from milepost.operators.windows import top_rows
 from milepost.plans.marts import MARTS
+from milepost.session import write_once
 from milepost.sources.projection import AS_OF
+from tests.conftest import rows
 
 QUERIES = entry.queries()
 
@@ -87,3 +92,44 @@ def test_labels_do_not_travel_with_the_facts(fleet, name):
     assert by_drive
     for columns in by_drive:
         assert not re.search("ofensor|categoria|acao|parametro|description", columns), columns
+
+
+def test_pedal_events_are_counted_by_numbers(fleet):
+    """What is counted has no text: names and labels would fill the memory of a task."""
+    text = plan(MARTS["mv_pedal_events"](fleet, AS_OF), "formatted")
+    keys = [k for k in re.findall(r"Keys \[\d+\]: \[(.*?)\]", text) if "event_month" in k]
+    assert keys
+    for columns in keys:
+        assert not re.search("driver_name|group_name|parametro|categoria|acao", columns), columns
+
+
+def test_pedal_events_count_what_dimensions_repeat(spark, fleet):
+    """Repeated rows of dimensions count as often as a join of them does."""
+    def also(df, column, value):
+        some = df.limit(60).withColumn(column, value.cast(df.schema[column].dataType))
+        return write_once(df.unionByName(df.limit(40)).unionByName(some), "repeated")
+
+    text = F.lit(None)
+    known = fleet.parameters.filter(F.col("parametro").isin("Falha na embreagem"))
+    many = dataclasses.replace(
+        fleet,
+        drivers=also(fleet.drivers, "driver_name", text),
+        vehicles=also(fleet.vehicles, "group_id", text),
+        groups=also(fleet.groups, "group_name", F.lit("same")).unionByName(fleet.groups.limit(2).withColumn("group_name", text.cast("string"))),
+        schemes=also(fleet.schemes, "description", F.lit("some pedal")),
+        parameters=also(fleet.parameters, "parametro", text).unionByName(known).unionByName(known.withColumn("peso_impacto", F.lit(9))),
+    )
+    pedal = many.schemes.filter(F.lower("description").contains("pedal")).select("scheme_id", pedal_issue(F.col("description")).alias("parametro"))
+    joined = (
+        many.events.select("drive_id", "vehicle_id", "scheme_id", "start_time").filter("vehicle_id IS NOT NULL")
+        .join(many.trips.select("drive_id", "driver_id"), "drive_id")
+        .join(pedal, "scheme_id").join(many.parameters, "parametro", "left")
+        .join(many.vehicles.select("vehicle_id", "group_id"), "vehicle_id")
+        .join(many.groups.select("group_id", "group_name"), "group_id", "left")
+        .join(many.drivers.select("driver_id", "driver_name"), "driver_id")
+    )
+    keys = ["driver_id", "driver_name", "group_name", "parametro", "categoria", "peso_impacto", "acao_recomendada_final"]
+    wanted = joined.groupBy(*keys, F.year("start_time").alias("year"), F.month("start_time").alias("month")).agg(F.count(F.lit(1)).alias("qtd_eventos"))
+    for given in (many, dataclasses.replace(many, event_rollup=event_rollup(many))):
+        found = MARTS["mv_pedal_events"](given, AS_OF)
+        assert rows(found.drop("impacto_total")) == rows(wanted)
