@@ -12,12 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.session import write_once
+from milepost.session import partitions_of_rows, write_once
 from milepost.sources.silver import PARTITION
 from milepost.sources.versions import DATA, Load, Version, current, read_version
 
 KEYS, KEYLESS = "keys", "keyless"
 KEYS_PER_BLOCK = 2_048
+# keys that a task sorts by block, each as often as it has probes
+KEYS_PER_TASK = 500_000
 BITS = 32_768
 PROBES = 4
 # up to this many arriving keys are tested one by one; more of them only by least and greatest
@@ -48,7 +50,8 @@ def summarise_keys(rows: DataFrame, key: str, partition: str = PARTITION) -> Dat
     sized = with_parts(keys, "_date", KEYS_PER_BLOCK, "blocks")
     placed = sized.withColumn("block", F.pmod(F.xxhash64("_key"), F.col("blocks").cast("long")).cast("int"))
     # keys are shuffled and not the bits: before that, each task has a few keys of every block
-    of_block = placed.repartition("_date", "block")
+    tasks = partitions_of_rows(rows.sparkSession, keys.count(), KEYS_PER_TASK)
+    of_block = placed.repartition(tasks, "_date", "block")
     spots = F.explode(F.array(*[_spot(F.col("_key"), i) for i in range(PROBES)]))
     return (
         of_block.select("_date", "block", "blocks", "_key", spots.alias("_spot"))
