@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -208,6 +209,37 @@ def test_bpe_as_the_library(spark, odd_documents):
     assert Counter((r.doc_id, r.decoded) for r in decoded.collect()) == Counter((r.doc_id, r.decoded) for r in rows)
 
 
+def test_bpe_words_level_by_level():
+    from tokenizers import Tokenizer
+
+    library, vocabulary, rng = Tokenizer.from_file(VOCABULARY), bpe.Vocabulary(VOCABULARY), np.random.default_rng(5)
+    letters = np.array(list("aeinorstäж日"))
+    found = {"".join(rng.choice(letters, n)) for n in [*rng.integers(1, 12, 3_000), *range(30, 200, 5)]}
+    found |= {w[:i] for w in list(found)[:500] for i in range(1, len(w))} | {" " + w for w in list(found)[:500]}
+    raw, encoder = [w.encode() for w in found], bpe.Encoder(bpe.Suffixes(vocabulary.whole_ids()), vocabulary.parts, vocabulary.ranks)
+    assert any(len(w) > bpe.LEVELS for w in raw)
+    packed = encoder.encode(raw)
+    assert {w.decode(): np.frombuffer(ids, "<i4").tolist() for w, ids in packed.items()} == {w: library.encode(w, add_special_tokens=False).ids for w in found}
+    assert encoder.encode([]) == {}
+    # a call for each level, not for each byte
+    short, calls = [w for w in raw if len(w) <= bpe.LEVELS], []
+    sys.setprofile(lambda _, event, __: calls.append(1) if event in ("call", "c_call") else None)
+    try:
+        encoder.encode(short)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < sum(map(len, short)) / 2
+
+
+def test_bpe_ascii_words():
+    import regex
+
+    rng, signs = np.random.default_rng(6), [*map(chr, range(128)), *" \n\t'sreat1" * 8]
+    for _ in range(5_000):
+        text = "".join(rng.choice(signs, 12))
+        assert re.findall(bpe.ASCII_WORDS, text) == regex.findall(bpe.WORDS, text)
+
+
 def test_bpe_other_vocabularies_are_refused(tmp_path, no_documents):
     with pytest.raises(ValueError):
         bpe.Vocabulary("/opt/tokenizers/word_bpe_49k.json")
