@@ -35,6 +35,8 @@ from milepost.operators.windows import write_once
 
 LAST = U64(2**64 - 1)
 COPY = -1
+# bytes of text at a time; hashes take eight times as much and are passed over many times, so they should stay in the cache
+RUN = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -54,7 +56,7 @@ class Run:
     """Units of the texts of one run of bytes."""
 
     def __init__(self, shape: Shape, data: np.ndarray, offsets: np.ndarray):
-        self.shape, self.data, self.offsets, self.owner = shape, data, offsets, None
+        self.shape, self.data, self.offsets = shape, data, offsets
         if shape.kind == "word":
             self.starts, self.ends, self.bounds = words(data, offsets)
             self.values = span_hashes(data, self.starts, self.ends)
@@ -71,15 +73,9 @@ class Run:
         hashes[~inside_texts(self.bounds, self.shape.k, len(self.values))[: len(hashes)]] = LAST
         return hashes
 
-    def windows(self) -> np.ndarray:
-        """First units of all windows."""
-        return np.flatnonzero(inside_texts(self.bounds, self.shape.length, len(self.values)))
-
     def local(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Text of each unit and its place in that text."""
-        if self.owner is None:
-            self.owner = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
-        text = self.owner[places]
+        text = np.searchsorted(self.bounds, places, "right") - 1
         return text, places - self.bounds[text]
 
     def digests(self, kept: np.ndarray) -> list[str]:
@@ -116,7 +112,7 @@ def _emit(shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks = batch.column("doc_id").to_numpy(), batch.column("mark").to_numpy()
-            for first, last, data, offsets in text_runs(batch.column("text")):
+            for first, last, data, offsets in text_runs(batch.column("text"), RUN):
                 units = Run(shape, data, offsets)
                 hashes = units.anchors()
                 places = np.flatnonzero(winnowed(hashes, shape.width) & (hashes != LAST))
@@ -154,11 +150,13 @@ def candidates(units: Run, column: pa.Array, known: np.ndarray, first: int, last
     copy[owner[at == COPY]] = True
     owner, at = owner[at != COPY], at[at != COPY]
     hashes[units.bounds[owner] + at] |= U64(1)
-    windows = units.windows()
-    least = sliding(hashes, shape.width) if len(windows) else hashes
-    windows = windows[(least[windows] & U64(1)) == 0]
-    text, _ = units.local(windows)
-    return windows[known[first:last][text] & ~copy[text]], least, copy
+    least = sliding(hashes, shape.width) if len(hashes) >= shape.width else hashes
+    may = inside_texts(units.bounds, shape.length, len(units.values))[: len(least)]
+    may &= (least & U64(1)) == 0
+    out = np.flatnonzero(~known[first:last] | copy)
+    for a, b in zip(units.bounds[out].tolist(), units.bounds[out + 1].tolist()):
+        may[a:b] = False
+    return np.flatnonzero(may), least, copy
 
 
 def segments(units: Run, windows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +171,7 @@ def _contents(shape: Shape):
         for batch in batches:
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for first, last, data, offsets in text_runs(batch.column("text")):
+            for first, last, data, offsets in text_runs(batch.column("text"), RUN):
                 units = Run(shape, data, offsets)
                 windows, least, _ = candidates(units, batch.column("single"), known, first, last)
                 starts, sizes = segments(units, windows, least[windows])
@@ -220,18 +218,18 @@ def _finish(shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            for first, last, data, offsets in text_runs(batch.column("text")):
+            for first, last, data, offsets in text_runs(batch.column("text"), RUN):
                 units = Run(shape, data, offsets)
                 windows, _, copy = candidates(units, batch.column("single"), known, first, last)
                 repeats = np.zeros(len(units.values) + 1, bool)
                 repeats[windows] = True
                 repeats[ranges(*listed_windows(units, batch, first, last))] = False
                 places = np.flatnonzero(repeats)
-                edge = np.zeros(len(units.values) + 1, np.int64)
-                np.add.at(edge, places, 1)
-                np.add.at(edge, places + shape.length, -1)
+                edge = np.zeros(len(units.values) + 1, np.int8)
+                edge[places] = 1
+                edge[places + shape.length] -= 1
                 size = np.diff(units.bounds)
-                gone = (np.cumsum(edge)[:-1] > 0) | np.repeat(copy & (size >= shape.length), size)
+                gone = (np.cumsum(edge, dtype=np.int32)[:-1] > 0) | np.repeat(copy & (size >= shape.length), size)
                 lost = np.flatnonzero(gone)
                 starts, sizes = segments(units, lost, np.zeros(len(lost), U64))
                 owner, place = units.local(starts)

@@ -145,9 +145,9 @@ def inside_texts(counts: np.ndarray, k: int, total: int) -> np.ndarray:
 
     ``counts`` has the first item of each text, with the total at its end.
     """
-    good = np.zeros(total, bool)
-    lengths = np.diff(counts)
-    good[ranges(counts[:-1], np.maximum(lengths - k + 1, 0))] = True
+    good = np.ones(total, bool)
+    ends = np.minimum(np.diff(counts), k - 1)
+    good[ranges(counts[1:] - ends, ends)] = False
     return good
 
 

@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from milepost.llm.anchors import Run, Shape, anchor_counts, first_segments, listed_windows, singles, stretches, without_repeats
-from milepost.llm.arrays import U64, large_binary, ranges, sliding, text_runs, window_hashes
+from milepost.llm.anchors import RUN, Run, Shape, anchor_counts, first_segments, listed_windows, singles, stretches, without_repeats
+from milepost.llm.arrays import BYTE_KEYS, U64, large_binary, ranges, sliding, text_runs, window_hashes
 from milepost.operators.windows import write_once
 
 LENGTH, SEED = 100, 16
@@ -49,17 +49,21 @@ def _segments(shape: Shape, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, parts = batch.column("doc_id").to_numpy(zero_copy_only=False), []
-            for first, last, data, offsets in text_runs(batch.column("text")):
+            for first, last, data, offsets in text_runs(batch.column("text"), RUN):
                 units = Run(shape, data, offsets)
                 starts, sizes = listed_windows(units, batch, first, last)
                 if not len(starts):
                     continue
-                keys = sliding(units.anchors(), shape.width)[starts]
+                # the anchor of a segment is that of its first window
+                heads = BYTE_KEYS[0][data[ranges(starts, np.full(len(starts), shape.length))]]
+                keys = sliding(window_hashes(heads, shape.k) & ~U64(1), shape.width)[:: shape.length]
+                lengths = sizes + shape.length - 1
                 single = np.isin(keys, hot)
-                windows = ranges(starts[single], sizes[single])
-                keys = np.concatenate((keys[~single], window_hashes(units.values, shape.length)[windows]))
-                starts = np.concatenate((starts[~single], windows))
-                lengths = np.concatenate((sizes[~single], np.ones(len(windows), np.int64))) + shape.length - 1
+                if single.any():
+                    windows = ranges(starts[single], sizes[single])
+                    keys = np.concatenate((keys[~single], window_hashes(units.values, shape.length)[windows]))
+                    starts = np.concatenate((starts[~single], windows))
+                    lengths = np.concatenate((lengths[~single], np.full(len(windows), shape.length)))
                 text, at = units.local(starts)
                 parts.append(pa.table({
                     "key": pa.array(keys.view(np.int64)),
@@ -73,20 +77,21 @@ def _segments(shape: Shape, hot: np.ndarray):
 
 
 def _refined(rank: np.ndarray, among: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Ranks after the suffixes ``among``, which share their ranks, are told apart by ``keys``.
+    """Tell the suffixes ``among`` apart by ``keys``, which begin with the ranks they share.
 
     A rank is the number of lesser suffixes, so a group that splits leaves all others alone.
+    Changes ``rank``; returns the suffixes that still share one, by rank.
     """
     order = np.argsort(keys)
     among, keys = among[order], keys[order]
     old = rank[among]
-    group = np.flatnonzero(np.concatenate(([True], old[1:] != old[:-1])))
-    part = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    sizes = np.diff(np.concatenate((part, [len(keys)])))
-    start = group[np.searchsorted(group, part, "right") - 1]
-    out = rank.copy()
-    out[among] = np.repeat(old[part] + (part - start).astype(U64), sizes)
-    return out
+    new, other = np.ones(len(keys), bool), np.ones(len(keys), bool)
+    new[1:], other[1:] = old[1:] != old[:-1], keys[1:] != keys[:-1]
+    part = np.flatnonzero(other)
+    sizes = np.diff(np.append(part, len(keys)))
+    start = np.flatnonzero(new)[np.cumsum(new[part]) - 1]
+    rank[among] = np.repeat(old[part] + (part - start), sizes)
+    return among[np.repeat(sizes > 1, sizes)]
 
 
 def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -99,15 +104,15 @@ def suffix_ranks(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarra
     words = np.lib.stride_tricks.sliding_window_view(padded, 8)[:size]
     have = min(8, length)
     first = np.ascontiguousarray(words).view(">u8").ravel().astype(U64) >> U64(64 - 8 * have)
-    rank = _refined(np.zeros(size, U64), np.arange(size), first)
-    while have < length:
+    rank, bits = np.zeros(size, np.int64), 21 if size < 1 << 21 else 32
+    among = _refined(rank, np.arange(size), first)
+    while have < length and len(among):
         step = min(have, length - have)
-        among = np.flatnonzero(np.bincount(rank.astype(np.int64), minlength=size)[rank.astype(np.int64)] > 1)
-        if not len(among):
-            break
-        after = rank[np.minimum(among + step, size - 1)]
-        rank = _refined(rank, among, (rank[among] << U64(32)) | after)
-        have += step
+        keys, have = rank[among] << bits | rank[np.minimum(among + step, size - 1)], have + step
+        if bits == 21 and have < length:  # the key has room for the next bytes, too
+            more = min(have - step, length - have)
+            keys, have = keys << bits | rank[np.minimum(among + step + more, size - 1)], have + more
+        among = _refined(rank, among, keys)
     return rank[starts]
 
 
@@ -121,43 +126,59 @@ def shared_bytes(data: np.ndarray, one: np.ndarray, two: np.ndarray, length: int
     return out
 
 
-def _previous_smaller_factors(places: list[int], common: list[int]) -> list[int]:
-    """Longest previous factors of entries in suffix order, in one pass over a stack.
+def _shared_with_smaller(places: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """What each entry shares with the nearest one before it that has a smaller place; 0 without one.
 
-    ``common[i]`` is what entries ``i - 1`` and ``i`` share. The stack holds entries of rising
-    place: below an entry lies its previous smaller one, the entry that pops it is its next
-    smaller one. ``common`` of an entry on the stack is what it shares with the one below.
+    ``common[i]`` is what entries ``i - 1`` and ``i`` share, 0 for the first. All entries step
+    back over the greater places before them, by blocks that double until one holds a smaller
+    place and then halve. Level ``k`` has the least of each ``2**k`` neighbours.
     """
-    factors, common, stack = [0] * len(places), [*common, 0], []
-    for i, place in enumerate([*places, -1]):
-        shared = common[i]
-        while stack and place < places[stack[-1]]:
-            top = stack.pop()
-            below = common[top]
-            factors[top] = below if below > shared else shared
-            if below < shared:
-                shared = below
-        common[i] = shared
-        stack.append(i)
-    return factors
+    least, shared, start, out = [places], [common], np.arange(len(places)), common.copy()
+    met, live, tries = [], start.copy(), 0
+
+    def stepped(live: np.ndarray, level: int) -> np.ndarray:
+        """Which entries have no smaller place in the block before them; these step over it."""
+        at = start[live] - (1 << level)
+        over = (at >= 0) & (least[level][np.minimum(np.maximum(at, 0), len(least[level]) - 1)] >= places[live])
+        moved, at = live[over], at[over]
+        start[moved], out[moved] = at, np.minimum(out[moved], shared[level][at])
+        return over
+
+    while len(live):
+        over = stepped(live, tries)
+        met.append(live[~over])
+        live, tries, half = live[over], tries + 1, 1 << tries
+        if len(live):
+            if len(least[-1]) <= half:  # no block of the next size; smaller ones may still fit
+                met.append(live)
+                break
+            least.append(np.minimum(least[-1][:-half], least[-1][half:]))
+            shared.append(np.minimum(shared[-1][:-half], shared[-1][half:]))
+    back = np.zeros(0, np.int64)
+    for level in range(len(met) - 2, -1, -1):
+        back = np.concatenate((back, met[level + 1]))
+        stepped(back, level)
+    return out
 
 
 def previous_factors(data: np.ndarray, starts: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
     """Longest previous factor, up to ``length`` bytes, of each window.
 
     That is the most that a window shares, from its start on, with one of a smaller place
-    (0 or more). Windows that agree on ``length`` bytes go through the stack once, at their
+    (0 or more). Windows that agree on ``length`` bytes are looked at once, at their
     least place; those at a later one share ``length`` bytes with it. Equal places are no
     earlier than each other; windows of one place are expected to agree on all bytes.
     """
     if not len(starts):
         return np.zeros(0, np.int64)
     rank = suffix_ranks(data, starts, length)
-    order = np.lexsort((places, rank))
-    heads = np.flatnonzero(np.concatenate(([True], np.diff(rank[order].astype(np.int64)) != 0)))
+    order = np.argsort(rank << 32 | places)
+    heads = np.flatnonzero(np.concatenate(([True], np.diff(rank[order]) != 0)))
     one = order[heads]
     common = np.concatenate(([0], shared_bytes(data, starts[one[:-1]], starts[one[1:]], length)))
-    of_heads = np.array(_previous_smaller_factors(places[one].tolist(), common.tolist()), np.int64)
+    previous = _shared_with_smaller(places[one], common)
+    following = _shared_with_smaller(places[one][::-1], np.concatenate(([0], common[:0:-1])))[::-1]
+    of_heads = np.maximum(previous, following)
     group = np.repeat(np.arange(len(heads)), np.diff(np.concatenate((heads, [len(order)]))))
     factors = np.empty(len(starts), np.int64)
     factors[order] = np.where(places[order] > places[one][group], length, of_heads[group])
@@ -173,17 +194,17 @@ def first_windows(table: pa.Table, length: int) -> pa.Table:
     ends = ends - ends[0]
     counts = np.diff(ends) - length + 1
     starts, owner = ranges(ends[:-1], counts), np.repeat(np.arange(len(counts)), counts)
-    doc = table.column("doc_id").to_numpy()[owner]
     at = table.column("at").to_numpy()[owner] + starts - ends[owner]
-    order = np.lexsort((at, doc))
     # rows that repeat a document have equal places; neither is earlier
-    new = (np.diff(doc[order]) != 0) | (np.diff(at[order]) != 0)
+    docs, doc = np.unique(table.column("doc_id").to_numpy(), return_inverse=True)
+    place = doc[owner] << 32 | at
+    order = np.argsort(place)
     places = np.zeros(len(starts), np.int64)
-    places[order[1:]] = np.cumsum(new)
+    places[order[1:]] = np.cumsum(np.diff(place[order]) != 0)
     first = np.flatnonzero(previous_factors(data, starts, places, length) < length)
     breaks = np.concatenate(([True], np.diff(owner[first]) != 0)) if len(first) else np.zeros(0, bool)
     runs, sizes = stretches(first, breaks)
-    return pa.table({"doc_id": doc[runs], "at": at[runs].astype(np.int32), "n": sizes.astype(np.int32)})
+    return pa.table({"doc_id": docs[doc[owner[runs]]], "at": at[runs].astype(np.int32), "n": sizes.astype(np.int32)})
 
 
 def _suffix_arrays(length: int):

@@ -334,6 +334,26 @@ def test_previous_factors_value_by_value():
     assert len(suffixes.previous_factors(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), 5)) == 0
 
 
+def test_previous_factors_without_a_loop_over_windows():
+    rng = np.random.default_rng(9)
+    for size in (1, 2, 3, 17, 64, 200):
+        for places in (rng.permutation(size), np.arange(size), np.arange(size)[::-1], rng.integers(0, 5, size)):
+            common = np.concatenate(([0], rng.integers(0, 9, size - 1)))
+            expected = []
+            for i in range(size):
+                before = [j for j in range(i) if places[j] < places[i]]
+                expected.append(min(common[before[-1] + 1 : i + 1]) if before else 0)
+            assert suffixes._shared_with_smaller(places, common).tolist() == expected
+    data, calls = rng.integers(0, 4, 20_000).astype(np.uint8), []
+    starts = np.arange(len(data) - 30)
+    sys.setprofile(lambda _, event, __: calls.append(1) if event in ("call", "c_call") else None)
+    try:
+        suffixes.previous_factors(data, starts, rng.permutation(len(starts)), 30)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < len(starts) / 10
+
+
 def test_suffix_ranks_against_sorting():
     rng = np.random.default_rng(2)
     data = rng.integers(97, 99, 400).astype(np.uint8)
