@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +14,21 @@ from milepost.constants import EVENT_TIME_FORMATS, FILE_DATE_STYLES
 
 WHOLE_NUMBER = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
 DECIMAL_NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
+# the usual shapes, which one cheap test tells and no text rule changes
+BARE_LONG = r"^\d{1,18}\z"
+BARE_NUMBER = r"^\d{1,15}(?:\.\d{1,15})?\z"
+BARE_COMMA_NUMBER = r"^\d{1,15}(?:[.,]\d{1,15})?\z"
+BARE_TIME = re.compile(r"(yyyy-MM-dd|dd/MM/yyyy)(?: |'T')HH:mm:ss(\.SSS)?('Z')?")
+
+Rule = Callable[[Column], Column]
+
+
+def _as_is(text: Column) -> Column:
+    return text
+
+
+def _point(text: Column) -> Column:
+    return F.replace(text, F.lit(","), F.lit("."))
 
 
 def to_long(text: Column) -> Column:
@@ -21,17 +36,23 @@ def to_long(text: Column) -> Column:
 
     Text of another shape never reaches the cast, whose failure path is slow.
     """
-    return F.nullif(F.regexp_extract(text, WHOLE_NUMBER, 1), F.lit("")).try_cast("bigint")
+    other = F.when(text.rlike(WHOLE_NUMBER), F.regexp_extract(text, WHOLE_NUMBER, 1).try_cast("bigint"))
+    return F.when(text.rlike(BARE_LONG), text.try_cast("bigint")).otherwise(other)
 
 
-def plain_double(text: Column) -> Column:
-    """Double written with a decimal point."""
+def _decimal(text: Column) -> Column:
     return F.when(text.rlike(DECIMAL_NUMBER), text.try_cast("double"))
 
 
-def to_double(text: Column) -> Column:
-    """Double written with a decimal comma or point."""
-    return plain_double(F.translate(text, ",", "."))
+def plain_double(text: Column, rule: Rule = _as_is) -> Column:
+    """Double written with a decimal point. Text other than bare digits goes through ``rule`` first."""
+    return F.when(text.rlike(BARE_NUMBER), text.try_cast("double")).otherwise(_decimal(rule(text)))
+
+
+def to_double(text: Column, rule: Rule = _as_is) -> Column:
+    """Double written with a decimal comma or point; ``rule`` as in ``plain_double``."""
+    bare = F.when(text.rlike(BARE_COMMA_NUMBER), _point(text).try_cast("double"))
+    return bare.otherwise(_decimal(_point(rule(text))))
 
 
 def to_truncated_long(text: Column) -> Column:
@@ -60,16 +81,45 @@ def _shape_part(match: re.Match) -> str:
     return r"[+-]?\d{4,}" if year else r"\d"
 
 
-def parse_time(text: Column, formats: Sequence[str] = EVENT_TIME_FORMATS) -> Column:
+def _bare_time(text: Column, time_format: str) -> tuple[str, Column] | None:
+    """Shape of a text with every digit of a format in place, and that text as a cast reads it.
+
+    A cast costs a fraction of a format and reads the same; None for formats of other layouts.
+    Year 0 is left to the format, which has no such year.
+    """
+    found = BARE_TIME.fullmatch(time_format)
+    if not found:
+        return None
+    date, fraction, zone = found.groups()
+    shape = time_format.replace("'", "").replace(".", r"\.")
+    shape = re.sub("[MdHmsS]", r"\\d", shape).replace("yyyy", r"(?!0000)\d{4}")
+    end = 23 if fraction else 19
+    if date == "yyyy-MM-dd":
+        return shape, F.substring(text, 1, end) if zone else text
+    year, month, day = (F.substring(text, at, n) for at, n in ((7, 4), (4, 2), (1, 2)))
+    return shape, F.concat_ws("-", year, month, F.concat(day, F.substring(text, 11, end - 10)))
+
+
+def parse_time(text: Column, formats: Sequence[str] = EVENT_TIME_FORMATS, rule: Rule = _as_is) -> Column:
     """Wall-clock timestamp by the first format that fits.
 
-    A format is tried only on text of its shape: a failed attempt costs far more than
-    the shape test, and most texts fit one format of several.
+    Text with every digit in place is cast. Other text goes through ``rule``, and a format is
+    tried only on text of its shape: a failed attempt costs far more than the shape test.
     """
+    bare = [_bare_time(text, f) for f in formats]
+    ruled = rule(text)
+    shapes = [_shape(f) for f in formats]
     attempts = [
-        F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f))) for f in formats
+        F.when(ruled.rlike(s), F.try_to_timestamp(ruled, F.lit(f))) for s, f in zip(shapes, formats, strict=True)
     ]
-    return F.coalesce(*attempts).cast("timestamp_ntz")
+    tried = F.when(ruled.rlike("|".join(shapes)), F.coalesce(*attempts))
+    if None in bare:
+        return tried.cast("timestamp_ntz")
+    written = {}
+    for shape, value in bare:
+        written.setdefault(str(value), (value, []))[1].append(shape)
+    read = [F.when(text.rlike(rf"^(?:{'|'.join(s)})\z"), v.try_cast("timestamp")) for v, s in written.values()]
+    return F.coalesce(*read, tried).cast("timestamp_ntz")
 
 
 def file_date(
@@ -83,7 +133,7 @@ def file_date(
     ``any_sep`` also takes dashes. A name without a date gives ``fallback`` or NULL.
     """
     pattern, date_format = FILE_DATE_STYLES[style]
-    found = F.regexp_replace(F.regexp_extract(name, pattern, 1), "-", "_")
+    found = F.replace(F.regexp_extract(name, pattern, 1), F.lit("-"), F.lit("_"))
     parsed = F.when(name.rlike(pattern), F.try_to_date(found, date_format))
     if fallback is None:
         return parsed

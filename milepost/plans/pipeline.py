@@ -45,11 +45,12 @@ def load_silver(
     """
 
     def raw(feed: str) -> DataFrame:
+        files = f"{bronze}/{feed}"
         if not quarantine:
-            return read_bronze(spark, f"{bronze}/{feed}", BRONZE[feed])
-        good, rejected = read_checked(spark, f"{bronze}/{feed}", BRONZE[feed])
+            return S.with_file_dates(read_bronze(spark, files, BRONZE[feed]), files, feed)
+        good, rejected = read_checked(spark, files, BRONZE[feed])
         publish(rejected, f"{out}/rejected/{feed}")
-        return good
+        return S.with_file_dates(good, files, feed)
 
     def path(feed: str) -> str:
         return f"{out}/silver/{feed}"

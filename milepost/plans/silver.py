@@ -29,7 +29,7 @@ from milepost.functions.parsing import (
 )
 from milepost.operators.dedup import at_date, latest_per_key
 from milepost.operators.quality import QualityError
-from milepost.sources.bronze import SOURCE_FILE, file_name
+from milepost.sources.bronze import SOURCE_FILE, file_name, source_files
 from milepost.sources.silver import PARTITION
 
 EVENT_DOUBLES = (
@@ -44,6 +44,33 @@ TRIP_DOUBLES = (
 )
 
 
+# how each feed writes the date in its file names
+DATE_STYLES = dict.fromkeys(("groups", "schemes", "vehicles", "events", "trips"), "loose") | {"drivers": "any_sep"}
+FILE_DATE = "_file_date"
+
+
+def with_file_dates(bronze: DataFrame, path: str, feed: str) -> DataFrame:
+    """Rows of the files below ``path`` with the date of their file, as a struct.
+
+    A date is read once for each file of the listing and sent to the rows; otherwise each row works
+    it out from its path, which costs more than all its numbers. The cleaning functions use the
+    struct and take it away.
+    """
+    date = F.struct(source_date(DATE_STYLES[feed]).alias("date"))
+    files = source_files(bronze.sparkSession, path).select(SOURCE_FILE, date.alias(FILE_DATE))
+    return bronze.join(F.broadcast(files), SOURCE_FILE, "left").select(*bronze.columns, FILE_DATE)
+
+
+def _date_of_row(bronze: DataFrame, feed: str, fallback: Column | None = None) -> Column:
+    """``source_date`` by way of the date that a row may carry already."""
+    style = DATE_STYLES[feed]
+    if FILE_DATE not in bronze.columns:
+        return source_date(style, fallback)
+    # a file that the listing lacks is read by its path
+    date = F.when(F.col(FILE_DATE).isNotNull(), F.col(FILE_DATE)["date"]).otherwise(source_date(style))
+    return date if fallback is None else F.coalesce(date, fallback)
+
+
 def source_date(style: str, fallback: Column | None = None) -> Column:
     """Date of the file a row came from.
 
@@ -61,7 +88,7 @@ def _project(df: DataFrame, normalise, parse: dict, date: Column) -> DataFrame:
     A parser reads the raw text: it tests the shape of the whole text anyway, and with the
     text rules in front of every number the code of a wide feed outgrows what compiles.
     """
-    names = [c for c in df.columns if c != SOURCE_FILE]
+    names = [c for c in df.columns if c not in (SOURCE_FILE, FILE_DATE)]
     columns = [(parse[c](F.col(c)) if c in parse else F.col(c)).alias(c) for c in names]
     plain = [c for c in names if c not in parse]
     return normalise(df, plain).select(*columns, SOURCE_FILE, date.alias(PARTITION))
@@ -71,6 +98,10 @@ def _parsers(parser, *names: str) -> dict:
     return dict.fromkeys(names, parser)
 
 
+def _trimmed(text: Column) -> Column:
+    return known_as_written(F.trim(text))
+
+
 def _a_number(text: Column) -> Column:
     """``nan`` is one of the words for a missing value."""
     return F.when(~text.rlike(r"^\s*(?i:nan)\s*$"), text)
@@ -79,13 +110,13 @@ def _a_number(text: Column) -> Column:
 def clean_groups(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return _project(
         bronze, fill_missing_text, _parsers(to_long, "group_id", "parent_group_id", "client_id"),
-        source_date("loose", as_date(as_of)),
+        _date_of_row(bronze, "groups", as_date(as_of)),
     )
 
 
 def clean_schemes(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return _project(
-        bronze, fill_missing_text, _parsers(to_long, "scheme_id"), source_date("loose", as_date(as_of))
+        bronze, fill_missing_text, _parsers(to_long, "scheme_id"), _date_of_row(bronze, "schemes", as_date(as_of))
     )
 
 
@@ -93,35 +124,35 @@ def clean_vehicles(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame
     return _project(
         bronze, null_missing_text,
         _parsers(to_long, "vehicle_id", "group_id", "unit_serial_number"),
-        source_date("loose", as_date(as_of)),
+        _date_of_row(bronze, "vehicles", as_date(as_of)),
     )
 
 
 def clean_drivers(bronze: DataFrame) -> DataFrame:
     return _project(
         bronze, fill_missing_text, _parsers(to_long, "driver_id", "group_id", "worker_id"),
-        source_date("any_sep"),
+        _date_of_row(bronze, "drivers"),
     )
 
 
 def clean_events(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     parse = {
         **_parsers(to_long, "event_id", "vehicle_id", "scheme_id", "drive_id"),
-        **_parsers(lambda c: plain_double(known_as_written(F.trim(c))), *EVENT_DOUBLES),
-        **_parsers(lambda c: to_double(known_as_written(F.trim(c))), "start_mileage", "end_mileage"),
-        **_parsers(lambda c: parse_time(F.trim(c)), "start_time", "end_time"),
+        **_parsers(lambda c: plain_double(c, _trimmed), *EVENT_DOUBLES),
+        **_parsers(lambda c: to_double(c, _trimmed), "start_mileage", "end_mileage"),
+        **_parsers(lambda c: parse_time(c, rule=F.trim), "start_time", "end_time"),
     }
-    return _project(bronze, trim_strings, parse, source_date("loose", as_date(as_of)))
+    return _project(bronze, trim_strings, parse, _date_of_row(bronze, "events", as_date(as_of)))
 
 
 def clean_trips(bronze: DataFrame) -> DataFrame:
     parse = {
         **_parsers(to_long, "drive_id", "vehicle_id", "driver_id"),
-        **_parsers(lambda c: parse_time(squeeze(c), TRIP_TIME_FORMATS), "start_drive", "end_drive"),
-        **_parsers(lambda c: to_double(_a_number(c)), *TRIP_DOUBLES),
+        **_parsers(lambda c: parse_time(c, TRIP_TIME_FORMATS, squeeze), "start_drive", "end_drive"),
+        **_parsers(lambda c: to_double(c, _a_number), *TRIP_DOUBLES),
         **_parsers(to_truncated_long, *SAFETY_COUNTERS),
     }
-    return _project(bronze, null_missing_text, parse, source_date("loose"))
+    return _project(bronze, null_missing_text, parse, _date_of_row(bronze, "trips"))
 
 
 NEWEST = (PARTITION, SOURCE_FILE)

@@ -5,12 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
 DEFAULTS = {
     # Wall-clock timestamps and a fixed zone: results do not depend on the host.
@@ -23,7 +24,7 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # HotSpot does not compile methods beyond 8000 bytes. Cleaning a feed of forty
     # columns exceeds that as one fused method, so such stages run operator by operator.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    METHOD_LIMIT: "8000",
 }
 
 
@@ -76,14 +77,24 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 @contextmanager
-def files_at_once(spark: SparkSession, number: int) -> Iterator[None]:
-    """Let a task write up to so many files side by side; beyond them it sorts its rows by file."""
-    before = spark.conf.get(WRITERS)
-    spark.conf.set(WRITERS, number)
+def _setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        spark.conf.set(WRITERS, before)
+        spark.conf.set(key, before)
+
+
+def files_at_once(spark: SparkSession, number: int) -> AbstractContextManager[None]:
+    """Let a task write up to so many files side by side; beyond them it sorts its rows by file."""
+    return _setting(spark, WRITERS, number)
+
+
+def compiled_methods(spark: SparkSession) -> AbstractContextManager[None]:
+    """Fuse no operators into methods that HotSpot leaves uncompiled, also in sessions without the defaults."""
+    most = min(int(spark.conf.get(METHOD_LIMIT)), int(DEFAULTS[METHOD_LIMIT]))
+    return _setting(spark, METHOD_LIMIT, most)
 
 
 def write_once(df: DataFrame, purpose: str) -> DataFrame:
@@ -94,5 +105,6 @@ def write_once(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    with compiled_methods(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

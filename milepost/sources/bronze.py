@@ -22,6 +22,12 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
+def source_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files below a folder, named as ``with_source_file`` names them; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.col("_metadata.file_path").alias(SOURCE_FILE)).distinct()
+
+
 def read_bronze(
     spark: SparkSession,
     path: str,

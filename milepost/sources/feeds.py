@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from milepost.constants import SAFETY_COUNTERS
-from milepost.session import files_at_once
+from milepost.session import compiled_methods, files_at_once
 from milepost.sources.bronze import SOURCE_FILE
 from milepost.sources.projection import table
 
@@ -198,7 +198,13 @@ FEEDS: dict[str, tuple[str, dict[str, str]]] = {
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A raw feed with its source file, all columns text."""
     source, columns = FEEDS[name]
-    return table(spark, sf_dir, source).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+    rows = table(spark, sf_dir, source)
+    # a date is in many texts of a row, in most of them several times: its own text is made once
+    days = {_iso(c): f"_day_{c}" for c in rows.columns if any(_iso(c) in e for e in columns.values())}
+    made = rows.selectExpr("*", *[f"{e} AS {day}" for e, day in days.items()])
+    for e, day in days.items():
+        columns = {c: text.replace(e, day) for c, text in columns.items()}
+    return made.selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
 
 
 def feed_sql(name: str) -> str:
@@ -218,13 +224,15 @@ def write_csv_feed(df: DataFrame, path: str, gather: bool = True) -> None:
         (named.hint("rebalance", "file") if gather else named)
         .write.mode("append")
         .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("emptyValue", "")
         .partitionBy("file")
     )
-    if gather:
-        return writer.csv(path)
-    with files_at_once(df.sparkSession, FILES_AT_ONCE):
-        writer.csv(path)
+    with compiled_methods(df.sparkSession):
+        if gather:
+            return writer.csv(path)
+        with files_at_once(df.sparkSession, FILES_AT_ONCE):
+            writer.csv(path)

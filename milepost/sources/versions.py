@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from milepost.session import files_at_once
+from milepost.session import compiled_methods, files_at_once
 
 DATA, MANIFESTS = "data", "manifests"
 FILES_AT_ONCE = 16
@@ -172,11 +172,12 @@ class Load:
         if partition:
             gathered = df.hint("rebalance", F.col(partition)) if gather else df
             writer = gathered.write.option("compression", "zstd").partitionBy(partition)
-            with files_at_once(self.spark, 0 if gather else FILES_AT_ONCE):
+            with files_at_once(self.spark, 0 if gather else FILES_AT_ONCE), compiled_methods(self.spark):
                 writer.parquet(target)
             new = [f"{self.folder}/{n}" for n in _names(self.spark, target) if "=" in n]
         else:
-            df.write.option("compression", "zstd").parquet(target)
+            with compiled_methods(self.spark):
+                df.write.option("compression", "zstd").parquet(target)
             new = [self.folder]
         stored = self.folders.get(section, []) if replace != "all" else []
         if replace == "dates":

@@ -5,11 +5,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from milepost.constants import ECONOMY_MESSAGE, EVENT_TIME_FORMATS, FLEET_SAFETY_MESSAGE
+from milepost.constants import ECONOMY_MESSAGE, EVENT_TIME_FORMATS, FLEET_SAFETY_MESSAGE, TRIP_TIME_FORMATS
 from milepost.functions import metrics as M
 from milepost.functions import parsing as P
 from milepost.functions import text as X
-from milepost.functions.cleaning import fill_missing_text, null_missing_text, trim_strings
+from milepost.functions.cleaning import fill_missing_text, null_missing_text, squeeze, trim_strings
+from milepost.plans import silver as S
 
 
 def apply(spark, values, function, schema="v string"):
@@ -85,6 +86,47 @@ def test_shape_test_rejects_nothing_a_format_reads(spark):
     assert apply(spark, times, as_text(P.parse_time)) == apply(spark, times, as_text(plain))
 
 
+def test_bare_texts_read_as_all_texts_do(spark):
+    """The short ways for usual texts give what the rules for any text give, odd texts included."""
+    numbers = [
+        f"{lead}{sign}{whole}{tail}{end}"
+        for lead in ("", " ", "\t")
+        for sign in ("", "-", "+")
+        for whole in ("", "0", "007", "12", "9" * 15, "9" * 18, "9" * 19, "1e3", "nan", "NaN", "-", "\u0663", "x1")
+        for tail in ("", ".", ".5", ",5", ".25,5", "." + "3" * 16)
+        for end in ("", " ", "\n")
+    ] + [None]
+    long = lambda c: F.nullif(F.regexp_extract(c, P.WHOLE_NUMBER, 1), F.lit("")).try_cast("bigint")
+    double = lambda c: F.when(c.rlike(P.DECIMAL_NUMBER), c.try_cast("double"))
+    comma = lambda c: double(F.translate(c, ",", "."))
+    as_text = lambda f: lambda c: f(c).cast("string")
+    assert apply(spark, numbers, P.to_long) == apply(spark, numbers, long)
+    for new, old, rule in ((P.plain_double, double, S._trimmed), (P.to_double, comma, S._trimmed), (P.to_double, comma, S._a_number)):
+        assert apply(spark, numbers, as_text(new)) == apply(spark, numbers, as_text(old))
+        assert apply(spark, numbers, as_text(lambda c: new(c, rule))) == apply(spark, numbers, as_text(lambda c: old(rule(c))))
+
+    days = ("2025-10-14", "14/10/2025", "2024-02-30", "30/02/2024", "0000-01-01", "01/01/0000", "2018-11-04", "0001-01-01", "9999-12-31")
+    times = [
+        f"{lead}{day}{sep}{clock}{end}"
+        for lead in ("", " ")
+        for day in days
+        for sep in (" ", "  ", "T", "")
+        for clock in ("01:02:03", "00:30:00", "24:00:00", "23:59:60", "1:02:03")
+        for end in ("", "Z", ".1", ".123", ".1234", ".123Z", " ", "\n", "+01:00")
+    ] + [None]
+    tried = lambda rule, formats: lambda c: F.coalesce(
+        *[F.when(rule(c).rlike(P._shape(f)), F.try_to_timestamp(rule(c), F.lit(f))) for f in formats]).cast("timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session_zone in (zone, "America/Sao_Paulo"):
+            spark.conf.set("spark.sql.session.timeZone", session_zone)
+            for formats, rule in ((EVENT_TIME_FORMATS, F.trim), (TRIP_TIME_FORMATS, squeeze), (("MM/dd/yyyy HH:mm:ss", *TRIP_TIME_FORMATS), squeeze)):
+                new, old = lambda c: P.parse_time(c, formats, rule), tried(rule, formats)
+                assert apply(spark, times, as_text(new)) == apply(spark, times, as_text(old))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 NAMES = ["x_2025_10_14_events.csv", "x_2026_1_8_trips.csv", "x_2026-01-08_d.csv", "plain.csv", None]
 
 

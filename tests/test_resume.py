@@ -1,5 +1,6 @@
 """Runs that go on where they stopped, facts by month, newest rows in the state store."""
 
+import contextlib
 import dataclasses
 import datetime as dt
 import re
@@ -8,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from milepost import session
 from milepost.operators.dedup import latest_per_key
 from milepost.plans import pipeline, safety
 from milepost.plans import silver as S
@@ -15,6 +17,7 @@ from milepost.schemas import BRONZE
 from milepost.sources import facts, feeds
 from milepost.sources import fingerprints as P
 from milepost.sources import projection as T
+from milepost.sources import versions
 from milepost.sources.bronze import SOURCE_FILE, read_bronze
 from milepost.sources.silver import PARTITION
 from milepost.sources.versions import current, publish, read_version
@@ -195,6 +198,59 @@ def test_feeds_are_packed_and_need_no_shuffle(spark, small, tmp_path):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
 
 
+def test_date_of_a_file_is_read_once(spark, tmp_path):
+    """The run sends the dates of the files to their rows, with what each path gives for itself."""
+    files = [f"export_2024_{m}_02_events.csv" for m in (1, 13)] + ["export_events.csv", "a b_2024_03_01%20.csv"]
+    rows_of = spark.range(12).select(
+        *[(F.col("id").cast("string") if c == "event_id" else F.lit(None).cast("string")).alias(c) for c in BRONZE["events"].names],
+        F.element_at(F.array(*[F.lit(f) for f in files]), (F.col("id") % 4 + 1).cast("int")).alias(SOURCE_FILE),
+    )
+    path = str(tmp_path / "events")
+    feeds.write_csv_feed(rows_of, path)
+    raw = read_bronze(spark, path, BRONZE["events"])
+    dated = S.with_file_dates(raw, path, "events")
+    assert dated.filter(F.col(S.FILE_DATE).isNotNull()).count() == 12
+    unlisted = raw.withColumn(S.FILE_DATE, F.lit(None).cast("struct<date: date>"))
+    expected = rows(S.clean_events(raw, AS_OF))
+    assert len(expected) == 12 and {r[-1] for r in expected} == {dt.date(2024, 1, 2), dt.date(2024, 3, 1), AS_OF}
+    for df in (dated, unlisted):
+        assert rows(S.clean_events(df, AS_OF)) == expected
+        assert S.clean_events(df, AS_OF).columns == S.clean_events(raw, AS_OF).columns
+
+
+def test_wide_work_runs_in_compiled_methods(spark, small, tmp_path, monkeypatch):
+    """Also where the session has Spark's own limit: writing a feed, silver and the warehouse."""
+    limits = []
+    for module in (feeds, versions, session):
+        kept = module.compiled_methods
+
+        @contextlib.contextmanager
+        def noted(spark, kept=kept):
+            with kept(spark):
+                limits.append(spark.conf.get(session.METHOD_LIMIT))
+                yield
+
+        monkeypatch.setattr(module, "compiled_methods", noted)
+    spark.conf.set(session.METHOD_LIMIT, 65535)
+    try:
+        trips = feeds.feed(spark, small, "trips").limit(50)
+        feeds.write_csv_feed(trips, str(tmp_path / "csv"))
+        publish(S.clean_trips(trips), str(tmp_path / "whole"))
+        publish(S.clean_trips(trips), str(tmp_path / "dated"), PARTITION)
+        session.write_once(trips, "limits")
+        assert spark.conf.get(session.METHOD_LIMIT) == "65535"
+    finally:
+        spark.conf.set(session.METHOD_LIMIT, session.DEFAULTS[session.METHOD_LIMIT])
+    assert limits == ["8000"] * 4
+
+
+def test_the_text_of_a_day_is_made_once(spark, small):
+    """A feed says the same rows as its SQL without repeating the cast of a date in each text."""
+    for name, date in (("events", "l_shipdate"), ("trips", "o_orderdate")):
+        plan = feeds.feed(spark, small, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(rf"cast\((?:cast\()?{date}", plan)) == 1
+
+
 def test_rows_near_their_month_are_written_where_they_are_read(spark, tmp_path):
     """Folders of few months are not shuffled by month; one folder with all months is."""
     days = spark.range(720).select("id", F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("id").cast("int")).alias("day"))
